@@ -3,7 +3,7 @@
 Words are lower-cased and free of punctuation. One pass over the texts keeps, of each document, the
 words that the benchmark has, with their positions; everything after reads that small table. Passages
 are blocks of words; their TF-IDF matrix is factored by a distributed randomised singular value
-decomposition (partial products of each partition are summed by key, twice, with a Rayleigh-Ritz step),
+decomposition (partial products of each partition are summed by key, twice; squared inverse frequencies),
 so that what reaches the driver is the benchmark's vocabulary times the rank. Overlapping windows and
 benchmark items meet in the latent space; windows whose cosine reaches ``min_cosine`` are candidates.
 A candidate counts where the longest common subsequence of its words with the item's covers
@@ -34,6 +34,7 @@ WINDOW = 2 * BLOCK
 RANK = 64
 MIN_COSINE = 0.5
 MIN_LCS = 0.6
+MOST_SHARE = 0.02  # of the blocks; more frequent words have no weight in the retrieval
 MIN_ANSWER = 0.5
 MOST_TERMS = 1 << 15  # vocabulary axes; a larger benchmark vocabulary folds onto them
 _FILTER = 1 << 20
@@ -144,10 +145,9 @@ def _product(idf: np.ndarray, held, m: int, axes: int) -> Callable:
         total = np.zeros_like(x)
         for batch in batches:
             block, term, _, _ = _blocks(batch)
+            block, term = block[idf[term] > 0], term[idf[term] > 0]
             for a in range(0, len(block), 1 << 17):
                 row, col, tf = _distinct(block[a : a + (1 << 17)], term[a : a + (1 << 17)], m)
-                if not len(row):
-                    continue
                 value = ((1 + np.log(tf)) * idf[col]).astype(np.float32)
                 row -= row[0]
                 n = int(row[-1]) + 1
@@ -185,14 +185,16 @@ def _multiply(kept: DataFrame, idf: np.ndarray, x: np.ndarray, m: int) -> np.nda
 
 
 def latent_axes(kept: DataFrame, idf: np.ndarray, m: int, rank: int) -> np.ndarray:
-    """Leading right singular vectors of the blocks' TF-IDF matrix: two products with A'A."""
+    """V / sigma for the leading singular vectors of the blocks' TF-IDF matrix (a vector times it is folded
+    into the latent space), from two products with A'A and a Rayleigh-Ritz step."""
     axes = min(m, MOST_TERMS)
     width = min(axes, rank + 8)
     x = np.random.Generator(np.random.PCG64(11)).standard_normal((axes, width))
     x = np.linalg.qr(_multiply(kept, idf, x, m))[0]
     gram = x.T @ _multiply(kept, idf, x, m)
-    vectors = np.linalg.eigh((gram + gram.T) / 2)[1][:, ::-1][:, :rank]
-    return np.ascontiguousarray(x @ vectors, np.float32)
+    squares, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    squares, vectors = squares[::-1][:rank], vectors[:, ::-1][:, :rank]
+    return np.ascontiguousarray(x @ vectors / np.sqrt(np.maximum(squares, 1e-6 * max(squares[0], 1e-9))), np.float32)
 
 
 def subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -227,7 +229,8 @@ def _matching(held, idf: np.ndarray, m: int, min_cosine: float, min_lcs: float,
             ids = batch.column("doc_id")
             total = int(counts.sum())
             owner = np.repeat(np.arange(len(counts)), counts)
-            row, col, tf = _distinct(block, term, m)
+            weighty = idf[term] > 0
+            row, col, tf = _distinct(block[weighty], term[weighty], m)
             bounds = np.searchsorted(row, np.arange(0, total + 4096, 4096))
             best: dict[tuple[int, int], tuple] = {}
             carry = None
@@ -298,7 +301,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MIN_COSINE,
     counts = kept.mapInArrow(_frequencies(m), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(m + 1, np.int64)
     df[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
-    idf = np.log((1 + df[m]) / (1 + df[:m])) + 0.1
+    idf = (np.log((1 + df[m]) / (1 + df[:m])) + 0.1) ** 2
+    idf[df[:m] > MOST_SHARE * max(df[m], 1 / MOST_SHARE)] = 0  # words that tell no passage apart
+    if not idf.any():
+        idf[:] = 1
     axes = latent_axes(kept, idf, m, rank)
     held = spark.sparkContext.broadcast((bench, axes, _item_vectors(bench, idf, axes, m)))
     return kept.mapInArrow(_matching(held, idf, m, min_cosine, min_lcs, min_answer), _LEAK)
