@@ -146,27 +146,35 @@ _ARROW = pa.schema(
 )
 
 
-def _reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path in batch.column("path").to_pylist():
-            system, name = pyarrow.fs.FileSystem.from_uri(path)
-            with system.open_input_stream(name, compression=None) as raw:
-                stream = io.BufferedReader(_Gunzip(raw) if path.endswith(".gz") else raw, _BUFFER)
-                rows, held = [], 0
-                for found in parse_records(stream):
-                    rows.append(found)
-                    held += len(found["content"])
-                    if held > 4 << 20 or len(rows) >= 4096:
+def _reading(kinds: tuple[str, ...] | None, bare: tuple[str, ...]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                system, name = pyarrow.fs.FileSystem.from_uri(path)
+                with system.open_input_stream(name, compression=None) as raw:
+                    stream = io.BufferedReader(_Gunzip(raw) if path.endswith(".gz") else raw, _BUFFER)
+                    rows, held = [], 0
+                    for found in parse_records(stream):
+                        if kinds is not None and found["type"] not in kinds:
+                            continue
+                        if found["type"] in bare:
+                            found["content"] = None
+                        rows.append(found)
+                        held += len(found["content"] or b"")
+                        if held > 4 << 20 or len(rows) >= 4096:
+                            yield pa.RecordBatch.from_pylist(rows, _ARROW)
+                            rows, held = [], 0
+                    if rows:
                         yield pa.RecordBatch.from_pylist(rows, _ARROW)
-                        rows, held = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, _ARROW)
+
+    return run
 
 
-def read_warc(paths: DataFrame) -> DataFrame:
-    """Records of the WARC files (plain or gzip) that the column ``path`` names; files are streamed, one a task."""
+def read_warc(paths: DataFrame, kinds: tuple[str, ...] | None = None, bare: tuple[str, ...] = ()) -> DataFrame:
+    """Records of the WARC files (plain or gzip) that the column ``path`` names; files are streamed, one a
+    task. ``kinds`` selects record types; those in ``bare`` come without their content."""
     files = paths.select("path").distinct()
-    return files.repartition(max(1, files.count()), "path").mapInArrow(_reading, _RECORD)
+    return files.repartition(max(1, files.count()), "path").mapInArrow(_reading(kinds, bare), _RECORD)
 
 
 def list_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -174,10 +182,16 @@ def list_warc(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").option("recursiveFileLookup", "true").load(folder).select("path")
 
 
-def assemble(records: DataFrame) -> DataFrame:
+def captures(paths: DataFrame) -> DataFrame:
+    """The captures of WARC files. Heads are read and written once, so that joins know their true sizes;
+    a second read brings the responses' payloads, which move to their capture only."""
+    heads = read_warc(paths, ("request", "response", "metadata"), bare=("response",))
+    return assemble(materialize(heads, "heads"), read_warc(paths, ("response",)))
+
+
+def assemble(heads: DataFrame, responses: DataFrame) -> DataFrame:
     """One nested row a capture: (capture_id, target_uri, date, response, requests, metadata)."""
-    records = records.filter("record_id is not null")
-    known = records.filter("type in ('request', 'response', 'metadata')")
+    known = heads.filter("record_id is not null")
     link = known.select("record_id", "type", F.explode("concurrent_to").alias("other"))
     ids = known.select(F.col("record_id").alias("other"), F.col("type").alias("other_type"))
     edges = link.join(ids, "other").select("record_id", "type", "other", "other_type")
@@ -188,9 +202,9 @@ def assemble(records: DataFrame) -> DataFrame:
     far = step.join(near.withColumnRenamed("record_id", "other"), "other").select("record_id", "capture_id").join(near, "record_id", "left_anti")
     owner = near.unionByName(far).distinct()
     body = F.struct("record_id", "target_uri", "date", F.element_at("headers", "content-type").alias("content_type"), "content")
-    small = records.filter("type in ('request', 'metadata')").dropDuplicates(["record_id"]).join(owner, "record_id").select("capture_id", "type", body.alias("part"))
+    small = known.filter("type in ('request', 'metadata')").dropDuplicates(["record_id"]).join(owner, "record_id").select("capture_id", "type", body.alias("part"))
     parts = small.groupBy("capture_id").agg(*(F.sort_array(F.collect_list(F.when(F.col("type") == kind, F.col("part")))).alias(name) for kind, name in (("request", "requests"), ("metadata", "metadata"))))
-    responses = records.filter("type = 'response'").dropDuplicates(["record_id"])
+    responses = responses.filter("record_id is not null and type = 'response'").dropDuplicates(["record_id"])
     # An HTTP message: status line, headers, empty line, body.
     head = F.decode(F.substring("content", 1, 16384), "ISO-8859-1")
     blank = "locate('\\r\\n\\r\\n', decode(content, 'ISO-8859-1'))"
@@ -211,4 +225,4 @@ def page_captures(pages: DataFrame) -> DataFrame:
     """Pages written as WARC files to the shared folder, read back and assembled."""
     folder = scratch_path(pages.sparkSession, "warc")
     paths = materialize(write_warc(pages, folder), "paths")
-    return assemble(read_warc(paths))
+    return captures(paths)

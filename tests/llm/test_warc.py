@@ -38,7 +38,7 @@ def test_assembly_against_plain_loops(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(b"".join(records[:50]))
     (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records[50:]))
     (tmp_path / "c.warc").write_bytes(records[0][:-30])  # cut off
-    got = warc.assemble(warc.read_warc(warc.list_warc(spark, f"file://{tmp_path}"))).collect()
+    got = warc.captures(warc.list_warc(spark, f"file://{tmp_path}")).collect()
     kinds = {k: v[0] for k, v in links.items() if v[0] != "warcinfo"}
     near = {k: set() for k in kinds}
     for k, (kind, other) in links.items():
