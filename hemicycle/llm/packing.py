@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemicycle.llm.tokens import PATTERN, VOCABULARY, token_counts
+from hemicycle.llm.tokens import PATTERN, VOCABULARY, token_lengths
 from hemicycle.session import materialize
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -96,7 +96,7 @@ def best_fit_packs(docs: DataFrame, capacities: Sequence[int] = CAPACITIES, path
     """Rows (pack_id, capacity, n_tokens, docs): one for each sequence, with the token ranges that it
     holds; a document's last token is its separator."""
     capacities = sorted(capacities)
-    counts = token_counts(docs, path, pattern).filter("n_tokens > 0")
+    counts = token_lengths(docs, path, pattern).filter("n_tokens > 0")
     sizes = materialize(counts.select(F.col("doc_id").cast("long"), (F.col("n_tokens") + 1).alias("n")), "lengths")
     groups = max(1, math.ceil(sizes.count() / group_docs))
     group = F.pmod(F.xxhash64(F.coalesce("doc_id", F.col("n"))), F.lit(groups)).alias("g")

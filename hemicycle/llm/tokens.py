@@ -15,6 +15,7 @@ import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -50,18 +51,23 @@ def prove_whole_tokens(path: str = VOCABULARY, pattern: str = PATTERN) -> frozen
 
 
 class _Cache(dict):
-    """Chunk to value, computed when missing and bounded in size."""
+    """Chunk to value, computed when missing; two generations, so that what is used again stays."""
 
     def __init__(self, compute: Callable):
-        self.compute = compute
+        self.compute, self.old = compute, {}
 
     def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(self) >= CACHED:
+            self.old = dict(self)
             self.clear()
-        self[key] = value = self.compute(key)
+        self[key] = value
         return value
 
 
+
 def _regular(chunk: str) -> bool:
     """The chunk can be tokenized apart from its neighbours."""
     return bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
@@ -74,13 +80,14 @@ class Counter:
         ranks, encoding, self.split = _load(path, pattern)
         self.merge = encoding._encode_single_piece
         self.whole = {raw.decode() for raw, i in ranks.items() if i in proven}
+        self.pieces = _Cache(lambda p: len(self.merge(p)))
         self.chunks = _Cache(lambda c: self._packed(" " + c) if _regular(c) else _BAD)
 
     def _count(self, text: str) -> tuple[int, int, int]:
         pieces = self.split.findall(text)
         rest = [p for p in pieces if p not in self.whole]
         direct = len(pieces) - len(rest)
-        return direct + sum(len(self.merge(p)) for p in rest), len(pieces), direct
+        return direct + sum(map(self.pieces.__getitem__, rest)), len(pieces), direct
 
     def _packed(self, text: str) -> int:
         tokens, pieces, direct = self._count(text)
@@ -102,25 +109,13 @@ class Counter:
 class Encoder:
     """Token ids of a text as little-endian bytes of ``width`` bytes an id."""
 
-    def __init__(self, path: str, pattern: str, proven: frozenset[int]):
-        ranks, encoding, self.split = _load(path, pattern)
+    def __init__(self, path: str, pattern: str):
+        ranks, encoding, _ = _load(path, pattern)
         self.width = 2 if max(ranks.values()) < 1 << 16 else 4
-        self.merge = encoding._encode_single_piece
-        self.whole = {raw.decode(): i.to_bytes(self.width, "little") for raw, i in ranks.items() if i in proven}
-        self.chunks = _Cache(lambda c: self._encode(" " + c) if _regular(c) else None)
-
-    def _encode(self, text: str) -> bytes:
-        get, merge, width = self.whole.get, self.merge, self.width
-        return b"".join(get(p) or b"".join(i.to_bytes(width, "little") for i in merge(p)) for p in self.split.findall(text))
+        self.encode = encoding.encode_ordinary
 
     def __call__(self, text: str) -> bytes:
-        head, *rest = text.split(" ")
-        if not _regular(head):
-            return self._encode(text)
-        try:
-            return self._encode(head) + b"".join(map(self.chunks.__getitem__, rest))
-        except TypeError:  # a chunk that can't be told from its neighbours
-            return self._encode(text)
+        return np.array(self.encode(text), f"<u{self.width}").tobytes()
 
 
 @lru_cache(2)
@@ -151,19 +146,29 @@ def token_counts(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN
     return docs.select("doc_id", "text").mapInArrow(_counting(*args), f"doc_id {kind}, n_tokens long, n_pretokens long, n_whole long")
 
 
-def _encoding(*args) -> Callable:
+def _encoding(path: str, pattern: str, keep: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(*args)
+        encode = _encoder(path, pattern)
         for batch in batches:
-            ids = [None if t is None else encode(t) for t in batch.column("text").to_pylist()]
-            sizes = [None if x is None else len(x) // encode.width for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            texts = batch.column("text").to_pylist()
+            if keep:
+                ids = [None if t is None else encode(t) for t in texts]
+                sizes = [None if x is None else len(x) // encode.width for x in ids]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            else:
+                sizes = [None if t is None else len(encode.encode(t)) for t in texts]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64())], ["doc_id", "n_tokens"])
 
     return run
 
 
 def token_ids(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """Rows (doc_id, n_tokens, ids): ids as little-endian bytes, two an id where the vocabulary allows."""
-    args = path, pattern, prove_whole_tokens(path, pattern)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(_encoding(*args), f"doc_id {kind}, n_tokens long, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(_encoding(path, pattern, True), f"doc_id {kind}, n_tokens long, ids binary")
+
+
+def token_lengths(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
+    """Rows (doc_id, n_tokens)."""
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text").mapInArrow(_encoding(path, pattern, False), f"doc_id {kind}, n_tokens long")
