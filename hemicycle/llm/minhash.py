@@ -3,7 +3,7 @@
 A document's set is its shingles of three lower-cased words; the k least hashes are its sketch.
 Documents of equal sets become one node first, so that thousands of copies cost no pairs. Inverted
 lists of the retained values generate overlaps: in each sketch the values go from rare to frequent,
-and two sketches that share enough values for the threshold must share one of the first few, so lists
+and two sketches that share enough values for the threshold must share some of the first few, so lists
 of frequent values (passages that many documents hold) are never paired. The k least values of the
 union of two sketches estimate the similarity; pairs that may reach the threshold go on. Candidates
 that hang together are brought together, and the exact Jaccard index of their sets decides, an edge
@@ -31,6 +31,7 @@ from hemicycle.session import materialize
 K = 64
 SHINGLE = 3
 THRESHOLD = 0.5
+SHARED = 4  # values that two sketches have to share in their lists' first ones
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -179,16 +180,18 @@ def similar_groups(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, sh
     prefix = (
         shared.withColumn("rank", F.row_number().over(of.orderBy("df", "value")))
         .withColumn("common", F.count("*").over(of))
-        .filter(F.col("s") - F.col("common") + F.col("rank") <= F.col("s") - need + 1)
-        .select("value", "node", "n")
+        .withColumn("least", F.least(need, F.lit(SHARED)))
+        .filter(F.col("s") - F.col("common") + F.col("rank") <= F.col("s") - need + F.col("least"))
+        .select("value", "node", "n", "least")
     )
     prefix = materialize(prefix, "prefix")
     a, b = prefix.alias("a"), prefix.alias("b")
     close = (F.col("a.n") >= threshold * F.col("b.n")) & (F.col("b.n") >= threshold * F.col("a.n"))
     pairs = (
         a.join(b, (F.col("a.value") == F.col("b.value")) & (F.col("a.node") < F.col("b.node")) & close)
-        .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-        .distinct()
+        .groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+        .agg(F.count("*").alias("common"), F.min(F.least("a.least", "b.least")).alias("least"))
+        .filter("common >= least")
     )
     slack = 3.1 * math.sqrt(threshold * (1 - threshold) / k)
     of_a, of_b = (nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")

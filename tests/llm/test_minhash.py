@@ -79,8 +79,7 @@ def test_one_of_each_group_stays(spark):
     got = minhash.drop_near_duplicates(df)
     assert got.columns == df.columns
     left = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
-    grouped_null = None in gone
-    want = sorted(({(i, t) for i, t in rows if i not in gone and (i is not None or not grouped_null or not t)}), key=str)
+    want = sorted({(i, t) for i, t in rows if i not in gone or (i is None and not t)}, key=str)
     assert left == want
 
 
