@@ -201,7 +201,7 @@ def assemble(heads: DataFrame, responses: DataFrame) -> DataFrame:
     step = edges.filter("type <> 'response' and other_type <> 'response'").select("record_id", "other")
     far = step.join(near.withColumnRenamed("record_id", "other"), "other").select("record_id", "capture_id").join(near, "record_id", "left_anti")
     owner = near.unionByName(far).distinct()
-    body = F.struct("record_id", "target_uri", "date", F.element_at("headers", "content-type").alias("content_type"), "content")
+    body = F.struct("record_id", "target_uri", "date", F.try_element_at("headers", F.lit("content-type")).alias("content_type"), "content")
     small = known.filter("type in ('request', 'metadata')").dropDuplicates(["record_id"]).join(owner, "record_id").select("capture_id", "type", body.alias("part"))
     parts = small.groupBy("capture_id").agg(*(F.sort_array(F.collect_list(F.when(F.col("type") == kind, F.col("part")))).alias(name) for kind, name in (("request", "requests"), ("metadata", "metadata"))))
     responses = responses.filter("record_id is not null and type = 'response'").dropDuplicates(["record_id"])
