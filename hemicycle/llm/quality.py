@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.llm._words import _BYTE, _LOWER, _P, Rolling, Words, mix, slices, text_bytes, text_rows
+from hemicycle.session import materialize
 
 BUCKETS = 1 << 18
 MAX_LABELLED = 20_000  # labelled rows that fit the model, taken by the hash of their ids
@@ -98,25 +99,22 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(c[at].astype(np.int64)) for c in counts)], ["bucket", "n", "good", "bad", "mild", "toxic"])
 
 
-def _weights(bucket: np.ndarray, counts: np.ndarray, total: np.ndarray, max_terms: int) -> tuple[np.ndarray, np.ndarray]:
-    """The terms that tell a class apart (chi-squared with one degree of freedom), and their weights."""
-    n = counts[0].astype(float)
-    relevance = np.zeros(len(bucket))
-    for no, yes in ((1, 2), (3, 4)):
-        size0, size1 = float(total[no]), float(total[yes])
+def _chosen(counts: DataFrame, total, max_terms: int) -> DataFrame:
+    """(bucket, weight) of the terms that tell a class apart: chi-squared with one degree of freedom
+    picks them; the log odds times the inverse document frequency weigh them."""
+    relevance = F.lit(0.0)
+    for no, yes in (("good", "bad"), ("mild", "toxic")):
+        size0, size1 = float(total[no] or 0), float(total[yes] or 0)
         if not size0 or not size1:
             continue
-        with0, with1 = counts[no].astype(float), counts[yes].astype(float)
-        have, size = with0 + with1, size0 + size1
-        expect = have * size1 / size
-        chi2 = (np.abs(with1 - expect) - 0.5).clip(0) ** 2 * size**2 / np.maximum(1e-9, have * (size - have) * size0 * size1 / size)
-        odds = np.abs(np.log((with1 + 0.5) / (size1 + 1) / ((with0 + 0.5) / (size0 + 1))))
-        relevance = np.maximum(relevance, np.where(chi2 > _CHI2, odds, 0))
-    idf = np.log((1 + total[0]) / (1 + n)) + 0.1
-    weight = relevance * idf
-    best = np.lexsort((bucket, -weight))[:max_terms]
-    best = best[weight[best] > 0]
-    return bucket[best], weight[best]
+        size, without, having = size0 + size1, F.col(no).cast("double"), F.col(yes).cast("double")
+        have = without + having
+        excess = F.greatest(F.abs(having - have * size1 / size) - 0.5, F.lit(0.0))
+        chi2 = excess * excess * size**3 / F.greatest(have * (size - have) * size0 * size1, F.lit(1e-9))
+        odds = F.abs(F.ln((having + 0.5) / (size1 + 1) / ((without + 0.5) / (size0 + 1))))
+        relevance = F.greatest(relevance, F.when(chi2 > _CHI2, odds).otherwise(0.0))
+    weight = relevance * (F.ln((1 + float(total["n"])) / (1 + F.col("n"))) + 0.1)
+    return counts.filter(F.col("bucket") < BUCKETS).select("bucket", weight.alias("weight")).filter("weight > 0").orderBy(F.desc("weight"), "bucket").limit(max_terms)
 
 
 def _matrix(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,18 +161,17 @@ def _sample_terms(table: np.ndarray, weight: np.ndarray) -> Callable:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS, rank: int = RANK) -> Model | None:
-    """The model; None without labelled documents. What reaches the driver is bounded: counts of 2**18
-    buckets, and the chosen terms of at most ``max_labelled`` documents."""
+    """The model; None without labelled documents. What reaches the driver is bounded: ``max_terms`` terms
+    with their weights, and the values that at most ``max_labelled`` documents have for them."""
     rows = _sampled(docs, labels, max_labelled)
     sums = [F.sum(c).alias(c) for c in ("n", "good", "bad", "mild", "toxic")]
-    got = rows.mapInArrow(_counting, "bucket int, n long, good long, bad long, mild long, toxic long").groupBy("bucket").agg(*sums).filter(f"good + bad > 0 or bucket = {BUCKETS}").toArrow()
-    bucket = got.column("bucket").to_numpy()
-    counts = np.stack([got.column(c).to_numpy() for c in ("n", "good", "bad", "mild", "toxic")]) if len(bucket) else np.zeros((5, 0), np.int64)
-    last = bucket == BUCKETS
-    if not last.any() or not counts[1:3, last].sum():
+    counts = rows.mapInArrow(_counting, "bucket int, n long, good long, bad long, mild long, toxic long").groupBy("bucket").agg(*sums)
+    counts = materialize(counts.filter(f"good + bad > 0 or bucket = {BUCKETS}"), "counts")
+    total = counts.filter(F.col("bucket") == BUCKETS).first()
+    if total is None or not total["good"] + total["bad"]:
         return None
-    total = counts[:, last][:, 0]
-    terms, weight = _weights(bucket[~last], counts[:, ~last], total, max_terms)
+    chosen = _chosen(counts, total, max_terms).toArrow()
+    terms, weight = chosen.column("bucket").to_numpy(), chosen.column("weight").to_numpy()
     table = np.full(BUCKETS, -1, np.int32)
     table[terms] = np.arange(len(terms))
     sample = rows.filter("bad is not null").mapInArrow(_sample_terms(table, weight), "id_ long, bad double, toxic double, terms array<int>, vals array<float>").toArrow()
