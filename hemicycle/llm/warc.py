@@ -191,20 +191,21 @@ def captures(paths: DataFrame) -> DataFrame:
 
 def assemble(heads: DataFrame, responses: DataFrame) -> DataFrame:
     """One nested row a capture: (capture_id, target_uri, date, response, requests, metadata)."""
-    known = heads.filter("record_id is not null")
-    link = known.select("record_id", "type", F.explode("concurrent_to").alias("other"))
-    ids = known.select(F.col("record_id").alias("other"), F.col("type").alias("other_type"))
-    edges = link.join(ids, "other").select("record_id", "type", "other", "other_type")
-    edges = edges.unionByName(edges.select(F.col("other").alias("record_id"), F.col("other_type").alias("type"), F.col("record_id").alias("other"), F.col("type").alias("other_type"))).distinct()
-    edges = materialize(edges, "concurrent")
-    near = edges.filter("type <> 'response' and other_type = 'response'").select("record_id", F.col("other").alias("capture_id"))
-    step = edges.filter("type <> 'response' and other_type <> 'response'").select("record_id", "other")
-    far = step.join(near.withColumnRenamed("record_id", "other"), "other").select("record_id", "capture_id").join(near, "record_id", "left_anti")
-    owner = near.unionByName(far).distinct()
+    key = lambda c: F.unhex(F.md5(c))  # noqa: E731  # 16 bytes stand for an id in every exchange
+    known = heads.filter("record_id is not null").withColumns({"key": key(F.col("record_id")), "answer": F.col("type") == "response"})
+    link = known.select("key", "answer", F.explode(F.transform("concurrent_to", key)).alias("other"))
+    ids = known.select(F.col("key").alias("other"), F.col("answer").alias("other_answer"))
+    edges = link.join(ids, "other").select("key", "answer", "other", "other_answer")
+    edges = edges.unionByName(edges.select(F.col("other").alias("key"), F.col("other_answer").alias("answer"), F.col("key").alias("other"), F.col("answer").alias("other_answer")))
+    edges = materialize(edges.filter("not answer").drop("answer"), "concurrent")
+    near = edges.filter("other_answer").select("key", F.col("other").alias("capture")).distinct()
+    step = edges.filter("not other_answer").select("key", "other")
+    far = step.join(near.withColumnRenamed("key", "other"), "other").select("key", "capture").join(near, "key", "left_anti")
+    owner = near.unionByName(far.distinct())
     body = F.struct("record_id", "target_uri", "date", F.try_element_at("headers", F.lit("content-type")).alias("content_type"), "content")
-    small = known.filter("type in ('request', 'metadata')").dropDuplicates(["record_id"]).join(owner, "record_id").select("capture_id", "type", body.alias("part"))
-    parts = small.groupBy("capture_id").agg(*(F.sort_array(F.collect_list(F.when(F.col("type") == kind, F.col("part")))).alias(name) for kind, name in (("request", "requests"), ("metadata", "metadata"))))
-    responses = responses.filter("record_id is not null and type = 'response'").dropDuplicates(["record_id"])
+    small = known.filter("type in ('request', 'metadata')").dropDuplicates(["key"]).join(owner, "key").select("capture", "type", body.alias("part"))
+    parts = small.groupBy("capture").agg(*(F.sort_array(F.collect_list(F.when(F.col("type") == kind, F.col("part")))).alias(name) for kind, name in (("request", "requests"), ("metadata", "metadata"))))
+    responses = responses.filter("record_id is not null and type = 'response'").withColumn("capture", key(F.col("record_id"))).dropDuplicates(["capture"])
     # An HTTP message: status line, headers, empty line, body.
     head = F.decode(F.substring("content", 1, 16384), "ISO-8859-1")
     blank = "locate('\\r\\n\\r\\n', decode(content, 'ISO-8859-1'))"
@@ -215,8 +216,8 @@ def assemble(heads: DataFrame, responses: DataFrame) -> DataFrame:
     )
     none = F.array().cast("array<struct<record_id:string,target_uri:string,date:string,content_type:string,content:binary>>")
     return (
-        responses.select(F.col("record_id").alias("capture_id"), "target_uri", "date", http.alias("response"))
-        .join(parts, "capture_id", "left")
+        responses.select("capture", F.col("record_id").alias("capture_id"), "target_uri", "date", http.alias("response"))
+        .join(parts, "capture", "left")
         .select("capture_id", "target_uri", "date", "response", F.coalesce("requests", none).alias("requests"), F.coalesce("metadata", none).alias("metadata"))
     )
 
