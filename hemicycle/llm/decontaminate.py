@@ -221,7 +221,7 @@ def _item_vectors(bench: Benchmark, idf: np.ndarray, axes: np.ndarray, m: int) -
 def _matching(held, idf: np.ndarray, m: int, min_cosine: float, min_lcs: float, min_answer: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench, axes, items = held.value
-        longest = max(len(t) for t in bench.terms)
+        own = [np.unique(t) for t in bench.terms]
         for batch in batches:
             block, term, first, counts = _blocks(batch)
             at = batch.column("at")
@@ -256,6 +256,9 @@ def _matching(held, idf: np.ndarray, m: int, min_cosine: float, min_lcs: float,
                     region = term[lo:hi]
                     if len(region) < min_lcs * len(words):
                         continue
+                    near = np.minimum(np.searchsorted(own[item], region), len(own[item]) - 1)
+                    if np.count_nonzero(own[item][near] == region) < min_lcs * len(words):
+                        continue  # too few of the item's words for any common subsequence
                     share = subsequence(words, region) / len(words)
                     if share < min_lcs:
                         continue
