@@ -3,7 +3,8 @@
 The dictionary is trained on the serialized ids of every document: each partition trains one on all
 of its documents, then groups of dictionaries are trained into one until a single one is left. Each
 document is compressed by itself, so that a reader takes only its bytes: the index has shard, offset
-and length, and the dictionary's hash guards against decoding with another one.
+and length, and the dictionary's hash guards against decoding with another one. The result holds the
+dictionary itself, on the first row of each shard, so that nothing else is needed to decode it.
 
 Defined results: a null text gives a row with nulls for frame and token count and no bytes; an empty
 text gives an empty array's frame; repeated rows are stored each; an empty table gives no row.
@@ -105,28 +106,32 @@ def _compressing(content: bytes) -> Callable:
         if known is not None:
             known.precompute_compress(level=LEVEL)
         pack = zstandard.ZstdCompressor(**({} if known is not None else {"level": LEVEL}), dict_data=known, write_checksum=False)
-        shard, at = TaskContext.get().partitionId(), 0
+        shard, at, first = TaskContext.get().partitionId(), 0, True
         for batch in batches:
             frames = [None if x is None else pack.compress(x) for x in batch.column("ids").to_pylist()]
             sizes = np.array([len(f or b"") for f in frames], np.int64)
             offsets = at + np.cumsum(sizes) - sizes
             at += int(sizes.sum())
             n = len(frames)
+            held = pa.array([content if first and i == 0 else None for i in range(n)], pa.binary())
+            first = first and not n
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_tokens"), pa.array([shard] * n, pa.int32()), pa.array(offsets), pa.array(sizes), pa.array([digest] * n), pa.array(frames, pa.binary())],
-                ["doc_id", "n_tokens", "shard", "offset", "n_bytes", "dict_hash", "frame"],
+                [batch.column("doc_id"), batch.column("n_tokens"), pa.array([shard] * n, pa.int32()), pa.array(offsets), pa.array(sizes), pa.array([digest] * n), pa.array(frames, pa.binary()), held],
+                ["doc_id", "n_tokens", "shard", "offset", "n_bytes", "dict_hash", "frame", "dictionary"],
             )
 
     return run
 
 
 def token_frames(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, dictionary: bytes | None = None) -> DataFrame:
-    """Rows (doc_id, n_tokens, shard, offset, n_bytes, dict_hash, frame). The frames of a shard, by
-    offset, are the bytes of its file. The scan order of the written ids fixes shards and offsets."""
+    """Rows (doc_id, n_tokens, shard, offset, n_bytes, dict_hash, frame, dictionary). The frames of a shard,
+    by offset, are the bytes of the file that ``write_token_shards`` writes; here they are in the rows. The
+    first row of each shard has the dictionary, the others null. The scan order of the written ids fixes
+    shards and offsets."""
     ids = materialize(token_ids(docs, path, pattern), "token_ids")
     content = shared_dictionary(ids) if dictionary is None else dictionary
     kind = dict(docs.dtypes)["doc_id"]
-    return ids.mapInArrow(_compressing(content), f"doc_id {kind}, n_tokens long, shard int, offset long, n_bytes long, dict_hash string, frame binary")
+    return ids.mapInArrow(_compressing(content), f"doc_id {kind}, n_tokens long, shard int, offset long, n_bytes long, dict_hash string, frame binary, dictionary binary")
 
 
 def decode(frame: bytes, dictionary: bytes, width: int = 2) -> np.ndarray:

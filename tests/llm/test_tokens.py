@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from hemicycle.llm import packing, token_output, tokens
+from hemicycle.llm import queries as llm
 
 SCHEMA = "doc_id long, text string, n_tokens string, ids int"
 PROVEN = tokens.prove_whole_tokens()
@@ -68,6 +69,18 @@ def test_frames_round_trip(spark, rows):
             at += r.n_bytes
 
 
+def test_query_output_decodes_by_itself(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    llm.op1_token_output(spark, folder).write.parquet(f"{tmp_path}/out")
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    known = {token_output.dictionary_hash(r.dictionary): bytes(r.dictionary) for r in got if r.dictionary is not None}
+    assert sum(r.dictionary is not None for r in got) == len({r.shard for r in got})
+    encode = reference().encode_ordinary
+    texts = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    want = sorted((r.doc_id, encode(r.text)) for r in texts if r.text is not None)
+    assert sorted((r.doc_id, token_output.decode(r.frame, known[r.dict_hash]).tolist()) for r in got if r.frame is not None) == want
+
+
 def test_shards_on_disk(spark, rows, tmp_path):
     folder = f"file://{tmp_path}/out"
     index = token_output.write_token_shards(frame(spark, [(i, t) for i, t in rows if i is not None and i != 3]), folder)
