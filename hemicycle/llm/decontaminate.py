@@ -6,7 +6,9 @@ are blocks of words; their TF-IDF matrix is factored by a distributed randomised
 decomposition (partial products of each partition are summed by key, twice; squared inverse frequencies),
 so that what reaches the driver is the benchmark's vocabulary times the rank. Overlapping windows and
 benchmark items meet in the latent space; windows whose cosine reaches ``min_cosine`` are candidates.
-A candidate counts where the longest common subsequence of its words with the item's covers
+So are those about which lie as many of an item's rarer words as any match must hold (an item's length
+times ``min_lcs``, less its more frequent words): the cosine of a paraphrase can be low, but no match
+fails this, so none is lost. A candidate counts where the longest common subsequence of its words with the item's covers
 ``min_lcs`` of the item, and the item's answer (its last sentence) is there too, by ``min_answer``.
 
 Defined results: null and empty texts match nothing, nor do items without words; repeated rows are
@@ -38,6 +40,7 @@ MOST_SHARE = 0.02  # of the blocks; more frequent words have no weight in the re
 MIN_ANSWER = 0.5
 MOST_TERMS = 1 << 15  # vocabulary axes; a larger benchmark vocabulary folds onto them
 _FILTER = 1 << 20
+_HITS = 1 << 21  # occurrences of items' words that are looked at together
 
 
 class Benchmark(NamedTuple):
@@ -145,17 +148,25 @@ def _product(idf: np.ndarray, held, m: int, axes: int) -> Callable:
         total = np.zeros_like(x)
         for batch in batches:
             block, term, _, _ = _blocks(batch)
-            block, term = block[idf[term] > 0], term[idf[term] > 0]
-            for a in range(0, len(block), 1 << 17):
-                row, col, tf = _distinct(block[a : a + (1 << 17)], term[a : a + (1 << 17)], m)
-                value = ((1 + np.log(tf)) * idf[col]).astype(np.float32)
-                row -= row[0]
-                n = int(row[-1]) + 1
-                value /= np.sqrt(np.bincount(row, value.astype(float) ** 2, minlength=n))[row].astype(np.float32)
-                col = col % axes
-                y = _rows_times(row, n, value, x, col)
-                by = np.argsort(col, kind="stable")
-                total += _rows_times(col[by], axes, value[by], y, row[by])
+            weighty = idf[term] > 0
+            row, col, tf = _distinct(block[weighty], term[weighty], m)
+            if not len(row):
+                continue
+            value = ((1 + np.log(tf)) * idf[col]).astype(np.float32)
+            starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+            row = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(row)))
+            value /= np.sqrt(np.add.reduceat(value.astype(float) ** 2, starts))[row].astype(np.float32)
+            col = col % axes
+            a = 0
+            while a < len(starts):  # as many whole blocks at a time as the cache holds
+                b = max(a + 1, int(np.searchsorted(starts, starts[a] + 4096)))
+                part = slice(starts[a], starts[b] if b < len(starts) else len(row))
+                y = _rows_times(row[part] - a, b - a, value[part], x, col[part])
+                by = np.argsort(col[part], kind="stable")
+                c = col[part][by]
+                first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+                total[c[first]] += np.add.reduceat(y[(row[part] - a)[by]] * value[part][by][:, None], first, axis=0)
+                a = b
         for k in range(0, axes, 256):
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total[k : k + 256].tobytes()], pa.binary())], ["term", "part"])
 
@@ -218,10 +229,65 @@ def _item_vectors(bench: Benchmark, idf: np.ndarray, axes: np.ndarray, m: int) -
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
+def rarer_words(bench: Benchmark, n: np.ndarray, min_lcs: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each term, the items that it counts for (``ends``, ``item``), and of each item the least number of
+    such words in any match. Words go from the most frequent (by ``n``) while a quarter of the item's length
+    stays to be found."""
+    terms, owners, needed = [], [], []
+    for k, words in enumerate(bench.terms):
+        size = len(words)
+        least = max(1, int(min_lcs * size) - 1)
+        while least / size < min_lcs:
+            least += 1
+        own, times = np.unique(words, return_counts=True)
+        order = np.lexsort((own, -n[own]))
+        gone = np.cumsum(times[order])
+        drop = int(np.searchsorted(gone, least - max(1, min(least, size // 4)), "right"))
+        needed.append(least - (int(gone[drop - 1]) if drop else 0))
+        terms.append(own[order[drop:]])
+        owners.append(np.full(len(own) - drop, k, np.int32))
+    term, item = np.concatenate(terms), np.concatenate(owners)
+    by = np.argsort(term, kind="stable")
+    return np.searchsorted(term[by], np.arange(len(bench.vocabulary) + 1)), item[by], np.array(needed)
+
+
+def _by_words(place: np.ndarray, term: np.ndarray, ends: np.ndarray, first: np.ndarray, counts: np.ndarray, rarer: tuple, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (numbered as blocks are) and items, for all windows whose region has the needed words."""
+    posting, owner, needed = rarer
+    gap = 2 * int(size.max()) + 2 * WINDOW
+    hits = posting[term + 1] - posting[term]
+    before = np.concatenate([[0], np.cumsum(hits)])[ends]  # of each document
+    windows, items = [], []
+    a = 0
+    while a < len(counts):
+        b = max(a + 1, int(np.searchsorted(before, before[a] + _HITS, "right")) - 1)
+        h, t = hits[ends[a] : ends[b]], term[ends[a] : ends[b]]
+        base = (first[a:b] - first[a]) * BLOCK + np.arange(b - a) * gap  # no region reaches the next document
+        word = place[ends[a] : ends[b]] + np.repeat(base, np.diff(ends[a : b + 1]))
+        item = owner[np.arange(h.sum()) + np.repeat(posting[t] - np.cumsum(h) + h, h)]
+        by = np.argsort(item.astype(np.uint16) if len(size) < 1 << 16 else item, kind="stable")
+        item, word = item[by], np.repeat(word, h)[by]
+        last = np.arange(len(item)) + needed[item] - 1
+        k = np.flatnonzero(last < len(item))
+        k = k[(item[last[k]] == item[k]) & (word[last[k]] - word[k] < 2 * size[item[k]] + WINDOW)]
+        doc = np.searchsorted(base, word[k], "right") - 1
+        start, end, length = word[k] - base[doc], word[last[k]] - base[doc], size[item[k]]
+        low = np.maximum(-(-(end - WINDOW - length + 1) // BLOCK), 0)
+        high = np.minimum((start + length) // BLOCK, counts[a + doc] - 1)
+        n = np.maximum(high - low + 1, 0)
+        window = np.repeat(first[a + doc] + low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        key = np.unique(window * len(size) + np.repeat(item[k], n))
+        windows.append(key // len(size))
+        items.append(key % len(size))
+        a = b
+    return np.concatenate(windows), np.concatenate(items)
+
+
 def _matching(held, idf: np.ndarray, m: int, min_cosine: float, min_lcs: float, min_answer: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench, axes, items = held.value
+        bench, axes, items, rarer = held.value
         own = [np.unique(t) for t in bench.terms]
+        size = np.array([len(t) for t in bench.terms])
         for batch in batches:
             block, term, first, counts = _blocks(batch)
             at = batch.column("at")
@@ -232,6 +298,9 @@ def _matching(held, idf: np.ndarray, m: int, min_cosine: float, min_lcs: float,
             weighty = idf[term] > 0
             row, col, tf = _distinct(block[weighty], term[weighty], m)
             bounds = np.searchsorted(row, np.arange(0, total + 4096, 4096))
+            if not total:
+                continue
+            lexical, lexical_item = _by_words(place, term, ends, first, counts, rarer, size)
             best: dict[tuple[int, int], tuple] = {}
             carry = None
             for k in range(len(bounds) - 1):  # 4096 blocks at a time; the block before joins the next window
@@ -247,7 +316,10 @@ def _matching(held, idf: np.ndarray, m: int, min_cosine: float, min_lcs: float,
                 window[:-1] += part[1:] * (who[1:] == who[:-1])[:, None]
                 window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
                 cosine = window @ items.T
-                for w, item in zip(*np.nonzero(cosine >= min_cosine), strict=True):
+                near = cosine >= min_cosine
+                lo, hi = np.searchsorted(lexical, [start, start + len(part)])
+                near[lexical[lo:hi] - start, lexical_item[lo:hi]] = True
+                for w, item in zip(*np.nonzero(near), strict=True):
                     doc = int(who[w])
                     words = bench.terms[item]
                     begin = (start + int(w) - int(first[doc])) * BLOCK
@@ -309,7 +381,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MIN_COSINE,
     if not idf.any():
         idf[:] = 1
     axes = latent_axes(kept, idf, m, rank)
-    held = spark.sparkContext.broadcast((bench, axes, _item_vectors(bench, idf, axes, m)))
+    held = spark.sparkContext.broadcast((bench, axes, _item_vectors(bench, idf, axes, m), rarer_words(bench, df[:m], min_lcs)))
     return kept.mapInArrow(_matching(held, idf, m, min_cosine, min_lcs, min_answer), _LEAK)
 
 

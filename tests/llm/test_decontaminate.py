@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from hemicycle.llm import decontaminate as dc
 
@@ -97,3 +98,46 @@ def test_empty_tables(spark):
     assert dc.leaks(df.limit(0), bench).collect() == []
     assert dc.leaks(df, bench.limit(0)).collect() == []
     assert dc.drop_leaks(df, bench.limit(0)).count() == len(docs)
+
+
+def scan(docs, items):
+    """As ``brute``, with the bit-parallel subsequence."""
+    number = {}
+    coded = lambda ws: np.array([number.setdefault(w, len(number)) for w in ws], int)
+    known = [(i, coded(words(t)), coded(words(dc.answer_of(t)))) for i, t in items]
+    out = set()
+    for d, t in docs:
+        w = coded(words(t))
+        for i, v, answer in known:
+            for begin in range(0, len(w), dc.BLOCK):
+                region = w[max(0, begin - len(v)) : begin + dc.WINDOW + len(v)]
+                if dc.subsequence(v, region) >= dc.MIN_LCS * len(v) and dc.subsequence(answer, region) >= dc.MIN_ANSWER * len(answer):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def edited(seed, lengths, share, each):
+    """Items of some lengths, each in a document of its own with that share of its words replaced."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdefghijk") for _ in range(rng.randrange(3, 8))) for _ in range(3000)] + ["the", "of", "and"] * 300
+    say = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items, docs = [], [(i, " ".join(say(200))) for i in range(100)]
+    for n in lengths:
+        for _ in range(each):
+            body = say(n)
+            items.append((len(items), " ".join(body[: n - n // 3]) + ". " + " ".join(body[n - n // 3 :]) + "."))
+            for k in rng.sample(range(n), int(share * n)):
+                body[k] = rng.choice(vocabulary)
+            docs.append((1000 + len(docs), " ".join(say(rng.randrange(100)) + body + say(rng.randrange(100)))))
+    return docs, items
+
+
+@pytest.mark.parametrize("share", [0.25, 0.32, 0.4])
+@pytest.mark.parametrize("lengths", [(15, 18, 24), (25, 32, 40), (41, 50, 59)])
+def test_edited_items_against_exhaustive_scan(spark, lengths, share):
+    docs, items = edited(5, lengths, share, 12)
+    got = {(r.doc_id, r.item_id) for r in dc.leaks(*frames(spark, docs, items)).collect()}
+    want = scan(docs, items)
+    assert len(want) >= 18
+    assert got == want
