@@ -141,3 +141,12 @@ def test_edited_items_against_exhaustive_scan(spark, lengths, share):
     want = scan(docs, items)
     assert len(want) >= 18
     assert got == want
+
+
+@pytest.mark.parametrize("share", [0, 0.2])
+def test_long_items(spark, share):
+    docs, items = edited(6, (100, 300, 500), share, 6)
+    got = {(r.doc_id, r.item_id) for r in dc.leaks(*frames(spark, docs, items)).collect()}
+    want = scan(docs, items)
+    assert len(want) >= 18
+    assert got == want
