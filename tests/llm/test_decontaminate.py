@@ -150,3 +150,16 @@ def test_long_items(spark, share):
     want = scan(docs, items)
     assert len(want) >= 18
     assert got == want
+
+
+def test_items_of_frequent_words(spark):
+    docs, items = edited(7, (20, 40), 0, 5)
+    rng = random.Random(8)
+    frequent = [f"often{k}" for k in range(20)]
+    docs = [(d, " ".join(w for x in t.split() for w in (x, rng.choice(frequent)))) if d < 1000 else (d, t) for d, t in docs]
+    own = rng.sample(frequent, 12)
+    items.append((500, " ".join(own)))
+    docs.append((5000, " ".join(f"other{k}" for k in range(60)) + " " + " ".join(own)))
+    got = {(r.doc_id, r.item_id) for r in dc.leaks(*frames(spark, docs, items)).collect()}
+    assert (5000, 500) in got
+    assert got == scan(docs, items)
