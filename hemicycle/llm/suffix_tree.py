@@ -1,11 +1,12 @@
 """Substring dedup by prefix-partitioned suffix trees.
 
 Suffixes that start at an anchor (see ``repeats``) are split by their first words: the hash of the
-k-gram is the partitioning prefix, and each task cuts its sorted stream into groups of bounded
-size, lengthening the prefix of a group only as far as it has to be told from its neighbours. In
-a group the suffixes are sorted, their common prefixes give the subtree's internal nodes, and the
-nodes at depth ``min_words - o`` whose leaves also agree on the ``o`` words to the left are the
-repeats of at least ``min_words`` words; joined spans of neighbouring anchors are the maximal repeats.
+k-gram is the partitioning prefix, of one length for all, and each task cuts its sorted stream into
+groups where that hash changes, about ``chunk`` contexts each. A prefix with more contexts than that
+is one group, whatever its size: prefixes aren't lengthened. In a group the suffixes are sorted, their
+common prefixes give the subtree's internal nodes, and the nodes at depth ``min_words - o`` whose leaves
+also agree on the ``o`` words to the left are the repeats of at least ``min_words`` words; joined spans of
+neighbouring anchors are the maximal repeats.
 
 Defined results: as for the suffix array: null, empty and short texts repeat nothing; rows equal in
 doc_id and text are one document; null ids stay null; other columns stay as they are; an empty table
