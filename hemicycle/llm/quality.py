@@ -1,16 +1,23 @@
 """Quality and toxicity by nearest-neighbour voting in a latent-semantic space.
 
 Terms are lower-cased words without punctuation, plus signs of form: the punctuation a word ends in,
-words in capitals, shares of repeated words. Document frequencies are counted over all documents. From
-a bounded sample of labelled rows come the terms that tell a class apart, a truncated singular value
-decomposition of the weighted sample, and the labelled latent vectors, which are broadcast (their number
-and rank are bounded by parameters). Every document is then projected, its exact cosines with all labelled
-vectors are computed in blocks, and its nearest labelled neighbours vote, weighted by similarity.
+words in capitals, shares of repeated words. A term is its hash's bucket, of 2**18 at every size of input;
+words that share a bucket share its weight. Document frequencies are counted over all documents, and every
+bucket has a weight: log odds between the classes, discounted by the chi-squared statistic where chance
+explains them, times the inverse document frequency. The labelled rows that fit the model (at most
+``max_labelled``, by the hash of their ids) stay in the cluster, split by bucket: each step of the randomised
+singular value decomposition broadcasts a matrix of labelled rows by rank and sums the partial products, so
+that the driver holds only such matrices and, at the end, the axes (buckets times rank). Every document is
+then projected, its exact cosines with all labelled vectors are computed in blocks, and its nearest labelled
+neighbours vote, weighted by similarity.
 
 Defined results: null and empty texts have no terms but the constant one and are voted on like any other;
-repeated rows are treated each; a document with null id or without label can't vote; labels of unknown
-documents and null labels are left out; with no label at all everything is kept with null scores; other
-columns are ignored (or kept, by ``keep_good``). A document never votes for itself.
+texts of any length are read whole; repeated rows are treated each; a document with null id or without label
+can't vote; labels of unknown documents and null labels are left out, and of a document's several labels the
+worst counts; with no label at all everything is kept with null scores; an empty table gives no row; other
+columns are ignored, or kept as they are by ``keep_good``, whatever their names. Of neighbours at equal
+cosines any may vote; a share of exactly one half is kept as quality and dropped as toxicity. A document
+never votes for itself.
 """
 
 from __future__ import annotations
@@ -28,11 +35,14 @@ from hemicycle.session import materialize
 
 BUCKETS = 1 << 18
 MAX_LABELLED = 20_000  # labelled rows that fit the model, taken by the hash of their ids
-MAX_TERMS = 4096
 RANK = 32
 NEIGHBOURS = 15
 _BIAS = 4.0
 _CHI2 = 15.0
+_LEAST = 1e-3
+_PARTS = 16  # of the buckets, in the fit
+_STEPS = 4
+_ROWS = 512
 _SPACED = _LOWER.copy()
 _ALNUM = np.zeros(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
@@ -42,9 +52,8 @@ _FORM = np.uint64(0x5851F42D4C957F2D)
 
 
 class Model(NamedTuple):
-    table: np.ndarray  # bucket to term, or -1
-    weight: np.ndarray
-    axes: np.ndarray
+    weight: np.ndarray  # of each bucket
+    axes: np.ndarray  # buckets by rank
     vectors: np.ndarray
     ids: np.ndarray
     labels: np.ndarray  # two columns: bad, toxic
@@ -99,9 +108,9 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(c[at].astype(np.int64)) for c in counts)], ["bucket", "n", "good", "bad", "mild", "toxic"])
 
 
-def _chosen(counts: DataFrame, total, max_terms: int) -> DataFrame:
-    """(bucket, weight) of the terms that tell a class apart: chi-squared with one degree of freedom
-    picks them; the log odds times the inverse document frequency weigh them."""
+def _weights(counts: DataFrame, total) -> np.ndarray:
+    """Each bucket's weight: the log odds between the classes, times how far chi-squared (one degree of
+    freedom) is from chance, times the inverse document frequency."""
     relevance = F.lit(0.0)
     for no, yes in (("good", "bad"), ("mild", "toxic")):
         size0, size1 = float(total[no] or 0), float(total[yes] or 0)
@@ -112,26 +121,32 @@ def _chosen(counts: DataFrame, total, max_terms: int) -> DataFrame:
         excess = F.greatest(F.abs(having - have * size1 / size) - 0.5, F.lit(0.0))
         chi2 = excess * excess * size**3 / F.greatest(have * (size - have) * size0 * size1, F.lit(1e-9))
         odds = F.abs(F.ln((having + 0.5) / (size1 + 1) / ((without + 0.5) / (size0 + 1))))
-        relevance = F.greatest(relevance, F.when(chi2 > _CHI2, odds).otherwise(0.0))
-    weight = relevance * (F.ln((1 + float(total["n"])) / (1 + F.col("n"))) + 0.1)
-    return counts.filter(F.col("bucket") < BUCKETS).select("bucket", weight.alias("weight")).filter("weight > 0").orderBy(F.desc("weight"), "bucket").limit(max_terms)
+        relevance = F.greatest(relevance, odds * F.pow(chi2 / (chi2 + _CHI2), F.lit(3)))
+    weight = (relevance + _LEAST) * (F.ln((1 + float(total["n"])) / (1 + F.col("n"))) + 0.1)
+    found = counts.filter(F.col("bucket") < BUCKETS).select("bucket", weight.cast("float").alias("weight")).toArrow()
+    out = np.zeros(BUCKETS, np.float32)
+    out[found.column("bucket").to_numpy()] = found.column("weight").to_numpy()
+    return out
 
 
-def _matrix(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _matrix(data: np.ndarray, offsets: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, bucket, value) of the rows' weighted terms, in the order of rows."""
     row, bucket, tf = features(data, offsets)
-    term = table[bucket]
-    ok = term >= 0
-    return row[ok], term[ok], ((1 + np.log(tf[ok])) * weight[term[ok]]).astype(np.float32)
+    value = ((1 + np.log(tf)) * weight[bucket]).astype(np.float32)
+    by = np.argsort(row, kind="stable")
+    by = by[value[by] > 0]
+    return row[by], bucket[by], value[by]
 
 
 def _project(row: np.ndarray, term: np.ndarray, value: np.ndarray, n: int, axes: np.ndarray) -> np.ndarray:
-    """Unit vectors of the rows: latent coordinates and the constant term."""
+    """Unit vectors of the rows (sorted): latent coordinates and the constant term."""
     out = np.zeros((n, axes.shape[1] + 1), np.float32)
-    by = np.argsort(row, kind="stable")
-    row, parts = row[by], axes[term[by]] * value[by, None]
-    if len(row):
-        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        out[row[first], :-1] = np.add.reduceat(parts, first, axis=0)
+    for a in range(0, n, _ROWS):  # so that the products of few rows are held
+        lo, hi = np.searchsorted(row, [a, a + _ROWS])
+        if lo < hi:
+            part = row[lo:hi]
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            out[part[first], :-1] = np.add.reduceat(axes[term[lo:hi]] * value[lo:hi, None], first, axis=0)
     out[:, -1] = _BIAS
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
@@ -147,66 +162,125 @@ def _sampled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("id_"), "text").join(F.broadcast(sample), "id_", "left")
 
 
-def _sample_terms(table: np.ndarray, weight: np.ndarray) -> Callable:
+def _sample_terms(held) -> Callable:
+    """A labelled row's terms by part of the buckets, with its norm: (part, id_, bad, toxic, norm, terms, vals)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = held.value
         for batch in batches:
             for a, b, data, offsets in text_rows(batch):
-                row, term, value = _matrix(data, offsets, table, weight)
-                order = np.lexsort((term, row))
-                ends = np.searchsorted(row[order], np.arange(b - a + 1)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[order])) for x in (term.astype(np.int32), value)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("id_", "bad", "toxic")), *lists], ["id_", "bad", "toxic", "terms", "vals"])
+                row, term, value = _matrix(data, offsets, weight)
+                norm = np.sqrt(np.bincount(row, value.astype(float) ** 2, minlength=b - a))
+                part = term // (BUCKETS // _PARTS)
+                order = np.lexsort((part, row))
+                row, term, value = row[order], term[order], value[order]
+                ends = np.searchsorted(row * _PARTS + part[order], np.arange((b - a) * _PARTS + 1)).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (term.astype(np.int32), value)]
+                each = pa.array(np.repeat(np.arange(a, b), _PARTS))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.arange(_PARTS, dtype=np.int32), b - a)), *(batch.column(c).take(each) for c in ("id_", "bad", "toxic")), pa.array(np.repeat(norm, _PARTS)), *lists],
+                    ["part", "id_", "bad", "toxic", "norm", "terms", "vals"],
+                )
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS, rank: int = RANK) -> Model | None:
-    """The model; None without labelled documents. What reaches the driver is bounded: ``max_terms`` terms
-    with their weights, and the values that at most ``max_labelled`` documents have for them."""
+def _block(table: pa.Table, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, value) of one part of the buckets, values divided by their rows' norms."""
+    terms, vals = table.column("terms").combine_chunks(), table.column("vals").combine_chunks()
+    row = np.repeat(np.searchsorted(ids, table.column("id_").to_numpy()), np.diff(terms.offsets.to_numpy()))
+    norm = np.repeat(table.column("norm").to_numpy(), np.diff(terms.offsets.to_numpy()))
+    return row, terms.flatten().to_numpy(), (vals.flatten().to_numpy() / np.maximum(norm, 1e-9)).astype(np.float32)
+
+
+def _sums(key: np.ndarray, size: int, index: np.ndarray, value: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """out[key] += value * table[index], for keys below ``size``."""
+    out = np.zeros((size, table.shape[1]), np.float32)
+    by = np.argsort(key, kind="stable")
+    for a in range(0, len(by), 1 << 16):
+        at = by[a : a + (1 << 16)]
+        k = key[at]
+        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        out[k[first]] += np.add.reduceat(table[index[at]] * value[at, None], first, axis=0)
+    return out
+
+
+_MATRIX = "at int, rows binary"
+
+
+def _product(held, back: bool) -> Callable:
+    """Of each part of the buckets (its columns B of the sample): B'X, or with ``back`` B(B'X)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, x = held.value
+        row, term, value = _block(table, ids)
+        base = int(table.column("part")[0].as_py()) * (BUCKETS // _PARTS)
+        out = _sums(term - base, BUCKETS // _PARTS, row, value, x)
+        if back:
+            out, base = _sums(row, len(x), term - base, value, out), 0
+        at = list(range(0, len(out), _ROWS))
+        return pa.table({"at": pa.array([base + a for a in at], pa.int32()), "rows": pa.array([out[a : a + _ROWS].tobytes() for a in at], pa.binary())})
+
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in table.column("rows"))
+    return pa.table({"at": table.column("at").slice(0, 1), "rows": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+
+def _multiply(sample: DataFrame, ids: np.ndarray, x: np.ndarray, back: bool) -> np.ndarray:
+    held = sample.sparkSession.sparkContext.broadcast((ids, x.astype(np.float32)))
+    parts = sample.groupBy("part").applyInArrow(_product(held, back), _MATRIX)
+    if back:
+        parts = parts.groupBy("at").applyInArrow(_added, _MATRIX)
+    out = np.zeros((len(x) if back else BUCKETS, x.shape[1]), np.float32)
+    for at, rows in parts.collect():
+        found = np.frombuffer(rows, np.float32).reshape(-1, x.shape[1])
+        out[at : at + len(found)] = found
+    held.unpersist()
+    return out
+
+
+def latent_space(sample: DataFrame, ids: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """The axes, and the unit sample's coordinates, by randomised subspace iteration with AA' (A: unit rows)
+    and a Rayleigh-Ritz step. ``sample`` has (part, id_, norm, terms, vals); ``ids`` are its sorted ids."""
+    n = len(ids)
+    width = min(n, rank + 8)
+    x = np.random.Generator(np.random.PCG64(7)).standard_normal((n, width))
+    for _ in range(_STEPS):
+        q = np.linalg.qr(x)[0].astype(np.float32)
+        x = _multiply(sample, ids, q, True).astype(np.float64)
+    gram = q.T @ x
+    squares, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    squares, vectors = squares[::-1][:rank], vectors[:, ::-1][:, :rank]
+    turn = (vectors / np.sqrt(np.maximum(squares, 1e-9 * max(squares[0], 1e-9)))).astype(np.float32)
+    return _multiply(sample, ids, q @ turn, False), (x @ turn).astype(np.float32)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rank: int = RANK) -> Model | None:
+    """The model; None without labelled documents. What reaches the driver is bounded by ``max_labelled`` and
+    the number of buckets: weights, ids and labels, matrices of rows by rank, and the axes."""
     rows = _sampled(docs, labels, max_labelled)
     sums = [F.sum(c).alias(c) for c in ("n", "good", "bad", "mild", "toxic")]
     counts = rows.mapInArrow(_counting, "bucket int, n long, good long, bad long, mild long, toxic long").groupBy("bucket").agg(*sums)
-    counts = materialize(counts.filter(f"good + bad > 0 or bucket = {BUCKETS}"), "counts")
+    counts = materialize(counts, "counts")
     total = counts.filter(F.col("bucket") == BUCKETS).first()
     if total is None or not total["good"] + total["bad"]:
         return None
-    chosen = _chosen(counts, total, max_terms).toArrow()
-    terms, weight = chosen.column("bucket").to_numpy(), chosen.column("weight").to_numpy()
-    table = np.full(BUCKETS, -1, np.int32)
-    table[terms] = np.arange(len(terms))
-    sample = rows.filter("bad is not null").mapInArrow(_sample_terms(table, weight), "id_ long, bad double, toxic double, terms array<int>, vals array<float>").toArrow()
-    sample = sample.combine_chunks()
-    order = np.argsort(sample.column("id_").to_numpy(), kind="stable")
-    sample = sample.take(order)
-    part = sample.column("terms").combine_chunks()
-    term, value = part.flatten().to_numpy(), sample.column("vals").combine_chunks().flatten().to_numpy()
-    row = np.repeat(np.arange(len(part)), np.diff(part.offsets.to_numpy()))
-    n, r = len(part), min(rank, max(1, len(terms)))
-    axes = _axes(row, term, value, n, len(terms), r)
-    vectors = _project(row, term, value, n, axes)
-    y = np.stack([sample.column(c).to_numpy() for c in ("bad", "toxic")], 1).astype(np.float32)
-    return Model(table, weight, axes, vectors, sample.column("id_").to_numpy(), y)
-
-
-def _axes(row: np.ndarray, term: np.ndarray, value: np.ndarray, n: int, m: int, rank: int) -> np.ndarray:
-    """Right singular vectors by randomised subspace iteration over blocks of rows."""
-    if not m:
-        return np.zeros((0, rank), np.float32)
-    norm = np.sqrt(np.bincount(row, value.astype(float) ** 2, minlength=n))
-    value = value / np.maximum(norm[row], 1e-9).astype(np.float32)
-    basis = np.random.Generator(np.random.PCG64(7)).standard_normal((m, min(m, rank + 8))).astype(np.float32)
-    bounds = np.searchsorted(row, np.arange(0, n + 512, 512))
-    for _ in range(4):
-        basis = np.linalg.qr(basis)[0].astype(np.float32)
-        out = np.zeros_like(basis)
-        for k in range(len(bounds) - 1):
-            a, b = bounds[k], bounds[k + 1]
-            block = np.zeros((512, m), np.float32)
-            block[row[a:b] - 512 * k, term[a:b]] = value[a:b]
-            out += block.T @ (block @ basis)
-        gram = basis.T @ out
-        basis = out if _ < 3 else basis @ np.linalg.eigh((gram + gram.T) / 2)[1][:, ::-1]
-    return np.ascontiguousarray(basis[:, :rank], np.float32)
+    weight = _weights(counts, total)
+    held = docs.sparkSession.sparkContext.broadcast(weight)
+    each = F.min_by(F.struct("text", "bad", "toxic"), F.xxhash64("text")).alias("row")  # one text an id: the bound holds
+    voters = rows.filter("bad is not null").groupBy("id_").agg(each).select("id_", "row.*")
+    sample = voters.mapInArrow(_sample_terms(held), "part int, id_ long, bad double, toxic double, norm double, terms array<int>, vals array<float>")
+    sample = materialize(sample.repartition(_PARTS, "part"), "sample")
+    known = sample.filter("part = 0").select("id_", "bad", "toxic", "norm").orderBy("id_").toArrow()
+    ids, norm = known.column("id_").to_numpy(), known.column("norm").to_numpy()
+    y = np.stack([known.column(c).to_numpy() for c in ("bad", "toxic")], 1).astype(np.float32)
+    axes, vectors = latent_space(sample, ids, rank)
+    vectors = np.concatenate([vectors * norm[:, None], np.full((len(ids), 1), _BIAS)], 1)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    return Model(weight, axes, vectors.astype(np.float32), ids, y)
 
 
 def votes(x: np.ndarray, ids: np.ndarray, model: Model, neighbours: int, block: int = 512) -> np.ndarray:
@@ -237,7 +311,7 @@ def _scoring(held, neighbours: int) -> Callable:
             scores = []
             data, offsets = text_bytes(batch.column("text"))
             for a, b in slices(offsets):
-                row, term, value = _matrix(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], model.table, model.weight)
+                row, term, value = _matrix(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], model.weight)
                 scores.append(votes(_project(row, term, value, b - a, model.axes), ids[a:b], model, neighbours))
             found = np.concatenate(scores) if scores else np.zeros((0, 2))
             names = batch.schema.names
