@@ -1,23 +1,28 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Words are lower-cased and free of punctuation. One pass over the texts keeps, of each document, the
-words that the benchmark has, with their positions; everything after reads that small table. Passages
-are blocks of words; their TF-IDF matrix is factored by a distributed randomised singular value
-decomposition (partial products of each partition are summed by key, twice; squared inverse frequencies),
-so that what reaches the driver is the benchmark's vocabulary times the rank. Overlapping windows and
-benchmark items meet in the latent space; windows whose cosine reaches ``min_cosine`` are candidates.
-So are those about which lie as many of an item's rarer words as any match must hold (an item's length
-times ``min_lcs``, less its more frequent words): the cosine of a paraphrase can be low, but no match
-fails this, so none is lost. A candidate counts where the longest common subsequence of its words with the item's covers
-``min_lcs`` of the item, and the item's answer (its last sentence) is there too, by ``min_answer``.
-
-Defined results: null and empty texts match nothing, nor do items without words; repeated rows are
-treated each; repeated items give their own rows; null ids stay null; other columns are ignored (or
-kept, by ``drop_leaks``); an empty benchmark or corpus gives no match.
+Words are lower-cased and free of punctuation. One pass over the texts writes, of each document, an axis for
+every word (16 bits of its hash, at every size of input; words that share an axis count together), and the
+positions of the words that the benchmark has. Passages are blocks of words; the TF-IDF matrix of all blocks
+over all words is factored by a distributed randomised singular value decomposition (Nystroem's method: one
+product of A'A with a random matrix, whose partial products are summed by key; squared inverse frequencies), so
+that what reaches the driver is axes times rank. Overlapping windows and benchmark items meet in the latent
+space; windows whose cosine reaches ``min_cosine`` are candidates. So are those about which lie as many of an
+item's rarer words as any match must hold (an item's length times ``min_lcs``, less its more frequent words):
+the cosine of a paraphrase can be low, but no match fails this, so none is lost. A candidate counts where the
+longest common subsequence of its words with the item's covers ``min_lcs`` of the item, and the item's answer
+(its last sentence) is there too, by ``min_answer``. A benchmark of more than ``SLICE_BYTES`` is matched in
+slices, each broadcast by itself.
+
+Defined results: null and empty texts match nothing, nor do items without words; texts of any length are read
+whole; repeated rows are treated each; repeated items give their own rows; of an item's windows in a document
+the one with the greatest (lcs, answer, cosine) is given, at ties the first; null ids stay null; other columns
+are ignored, or kept as they are by ``drop_leaks``, whatever their names; an empty benchmark or corpus gives no
+match.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -33,12 +38,13 @@ from hemicycle.session import materialize
 
 BLOCK = 16
 WINDOW = 2 * BLOCK
-RANK = 64
+RANK = 48
 MIN_COSINE = 0.5
 MIN_LCS = 0.6
-MOST_SHARE = 0.02  # of the blocks; more frequent words have no weight in the retrieval
 MIN_ANSWER = 0.5
-MOST_TERMS = 1 << 15  # vocabulary axes; a larger benchmark vocabulary folds onto them
+AXES = 1 << 16
+SLICE_BYTES = 4 << 20  # of benchmark text that is broadcast at a time
+_CHUNK = 2048  # blocks
 _FILTER = 1 << 20
 _HITS = 1 << 21  # occurrences of items' words that are looked at together
 
@@ -87,6 +93,9 @@ def _keeping(vocabulary: np.ndarray) -> Callable:
         for batch in batches:
             for a, b, data, offsets in text_rows(batch):
                 words = Words(_SPACED[data], offsets)
+                axis = (words.hash >> np.uint64(48)).astype(np.uint16)
+                bounds = pa.py_buffer((words.rows * 2).astype(np.int32))
+                axes = pa.Array.from_buffers(pa.binary(), b - a, [None, bounds, pa.py_buffer(axis)])
                 at = np.flatnonzero(seen[(words.hash & np.uint64(_FILTER - 1)).astype(np.int64)])
                 place = np.searchsorted(vocabulary, words.hash[at])
                 place[place == len(vocabulary)] = 0
@@ -95,80 +104,80 @@ def _keeping(vocabulary: np.ndarray) -> Callable:
                 ends = np.searchsorted(at, words.rows).astype(np.int32)
                 row = np.searchsorted(words.rows, at, "right") - 1
                 lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.int32))) for x in (at - words.rows[row], place)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(words.count.astype(np.int32)), *lists], ["doc_id", "n_words", "at", "term"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), axes, *lists], ["doc_id", "axes", "at", "term"])
 
     return run
 
 
-def _blocks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each kept word's block (numbered through the batch) and term; each document's first block and block count."""
-    counts = -(-batch.column("n_words").to_numpy().astype(np.int64) // BLOCK)
+def _blocks(axes: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words' axes by block (a row each, sorted, filled with AXES); each document's first block and block count."""
+    offsets = np.frombuffer(axes.buffers()[1], np.int32)[axes.offset : axes.offset + len(axes) + 1].astype(np.int64) // 2
+    words = np.frombuffer(axes.buffers()[2] or b"", np.uint16)[offsets[0] : offsets[-1]]
+    size = np.diff(offsets)
+    counts = -(-size // BLOCK)
     first = np.cumsum(counts) - counts
-    at = batch.column("at")
-    place, term = at.flatten().to_numpy(), batch.column("term").flatten().to_numpy()
-    row = np.repeat(np.arange(len(at)), np.diff(at.offsets.to_numpy()))
-    return first[row] + place // BLOCK, term, first, counts
+    out = np.full((int(counts.sum()), BLOCK), AXES, np.uint32)
+    out.ravel()[np.arange(len(words)) + np.repeat(first * BLOCK - offsets[:-1] + offsets[0], size)] = words
+    out.sort(axis=1)
+    return out, first, counts
 
 
-def _distinct(block: np.ndarray, term: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    key, tf = np.unique(block * m + term, return_counts=True)
-    return key // m, key % m, tf
+def _new(blocks: np.ndarray) -> np.ndarray:
+    """Where another axis starts in its block."""
+    new = np.ones(blocks.shape, bool)
+    new[:, 1:] = blocks[:, 1:] != blocks[:, :-1]
+    return new
 
 
-def _frequencies(m: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(m + 1, np.int64)
-        for batch in batches:
-            block, term, _, size = _blocks(batch)
-            counts[:m] += np.bincount(_distinct(block, term, m)[1], minlength=m)
-            counts[m] += size.sum()
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["term", "n"])
-
-    return run
-
-
-def _rows_times(row: np.ndarray, rows: int, value: np.ndarray, table: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """Sparse rows (sorted) times a dense table."""
-    out = np.zeros((rows, table.shape[1]), np.float32)
-    if len(row):
-        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        out[row[first]] = np.add.reduceat(table[index] * value[:, None], first, axis=0)
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a partition: blocks that have each axis, and at AXES the number of blocks."""
+    counts = np.zeros(AXES + 1, np.int64)
+    for batch in batches:
+        blocks, _, _ = _blocks(batch.column("axes"))
+        counts += np.bincount(blocks[_new(blocks)], minlength=AXES + 1)
+        counts[AXES] += len(blocks) - np.count_nonzero(blocks[:, -1] == AXES)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["term", "n"])
+
+
+def _folded(blocks: np.ndarray, idf: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The blocks' TF-IDF rows times a table of the axes (and a last row of zeros)."""
+    out = np.empty((len(blocks), table.shape[1]), np.float32)
+    for a in range(0, len(blocks), _CHUNK):
+        part = blocks[a : a + _CHUNK]
+        out[a : a + _CHUNK] = np.matmul(idf[part][:, None, :], table[part])[:, 0]
     return out
 
 
 _PART = "term int, part binary"
 
 
-def _product(idf: np.ndarray, held, m: int, axes: int) -> Callable:
+def _product(idf: np.ndarray, held) -> Callable:
     """Of a partition: A'AX, for A the unit TF-IDF rows of its blocks, X the broadcast matrix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = held.value
         total = np.zeros_like(x)
         for batch in batches:
-            block, term, _, _ = _blocks(batch)
-            weighty = idf[term] > 0
-            row, col, tf = _distinct(block[weighty], term[weighty], m)
-            if not len(row):
-                continue
-            value = ((1 + np.log(tf)) * idf[col]).astype(np.float32)
-            starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            row = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(row)))
-            value /= np.sqrt(np.add.reduceat(value.astype(float) ** 2, starts))[row].astype(np.float32)
-            col = col % axes
-            a = 0
-            while a < len(starts):  # as many whole blocks at a time as the cache holds
-                b = max(a + 1, int(np.searchsorted(starts, starts[a] + 4096)))
-                part = slice(starts[a], starts[b] if b < len(starts) else len(row))
-                y = _rows_times(row[part] - a, b - a, value[part], x, col[part])
-                by = np.argsort(col[part], kind="stable")
-                c = col[part][by]
-                first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-                total[c[first]] += np.add.reduceat(y[(row[part] - a)[by]] * value[part][by][:, None], first, axis=0)
-                a = b
-        for k in range(0, axes, 256):
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total[k : k + 256].tobytes()], pa.binary())], ["term", "part"])
+            blocks, _, _ = _blocks(batch.column("axes"))
+            for a in range(0, len(blocks), _CHUNK):
+                part = blocks[a : a + _CHUNK]
+                flat, value = part.ravel(), idf[part]
+                at = np.flatnonzero(_new(part).ravel())
+                times = np.diff(at, append=len(flat))
+                square = np.repeat(times, times).astype(np.float32).reshape(part.shape) * value * value
+                norm = np.sqrt(square.sum(1))
+                y = np.matmul(value[:, None, :], x[part])[:, 0] / np.maximum(norm, 1e-9)[:, None] ** 2
+                real = np.flatnonzero(flat < AXES)
+                by = real[np.argsort(flat[real].astype(np.uint16), kind="stable")]
+                col = flat[by]
+                first = np.flatnonzero(np.concatenate([[True], col[1:] != col[:-1]])) if len(col) else col
+                if len(first):
+                    total[col[first]] += np.add.reduceat(y[by // BLOCK] * value.ravel()[by][:, None], first, axis=0)
+        for k in range(0, AXES, 256):
+            part = total[k : k + 256]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["term", "part"])
 
     return run
 
@@ -183,29 +192,35 @@ def _adding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.astype(np.float32).tobytes()], pa.binary())], ["term", "part"])
 
 
-def _multiply(kept: DataFrame, idf: np.ndarray, x: np.ndarray, m: int) -> np.ndarray:
+def _multiply(kept: DataFrame, idf: np.ndarray, x: np.ndarray) -> np.ndarray:
     spark = kept.sparkSession
-    held = spark.sparkContext.broadcast(x.astype(np.float32))
-    rows = kept.mapInArrow(_product(idf, held, m, len(x)), _PART).repartition("term").mapInArrow(_adding, _PART).collect()
+    held = spark.sparkContext.broadcast(_padded(x))
+    rows = kept.select("axes").mapInArrow(_product(idf, held), _PART).repartition("term").mapInArrow(_adding, _PART).collect()
     held.unpersist()
-    out = np.zeros(x.shape, np.float64)
+    out = np.zeros(x.shape, np.float32)
     for r in rows:
         part = np.frombuffer(r["part"], np.float32).reshape(-1, x.shape[1])
         out[r["term"] : r["term"] + len(part)] = part
     return out
 
 
-def latent_axes(kept: DataFrame, idf: np.ndarray, m: int, rank: int) -> np.ndarray:
-    """V / sigma for the leading singular vectors of the blocks' TF-IDF matrix (a vector times it is folded
-    into the latent space), from two products with A'A and a Rayleigh-Ritz step."""
-    axes = min(m, MOST_TERMS)
-    width = min(axes, rank + 8)
-    x = np.random.Generator(np.random.PCG64(11)).standard_normal((axes, width))
-    x = np.linalg.qr(_multiply(kept, idf, x, m))[0]
-    gram = x.T @ _multiply(kept, idf, x, m)
-    squares, vectors = np.linalg.eigh((gram + gram.T) / 2)
+def _padded(x: np.ndarray) -> np.ndarray:
+    """With a row of zeros, for the places of a block that have no word."""
+    return np.concatenate([x, np.zeros((1, x.shape[1]))]).astype(np.float32)
+
+
+def latent_axes(kept: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
+    """V / sigma for the leading singular vectors of the blocks' TF-IDF matrix A (a vector times it is folded
+    into the latent space), from one product Y = A'AX with orthonormal X: A'A is about Y (X'Y)^-1 Y'."""
+    x = np.linalg.qr(np.random.Generator(np.random.PCG64(11)).standard_normal((AXES, rank + 16), np.float32))[0]
+    y = _multiply(kept, idf, x)
+    core = x.T.astype(np.float64) @ y
+    squares, turn = np.linalg.eigh((core + core.T) / 2)
+    z = y @ (turn / np.sqrt(np.maximum(squares, 1e-6 * max(squares[-1], 1e-9)))).astype(np.float32)
+    squares, vectors = np.linalg.eigh((z.T @ z).astype(np.float64))
     squares, vectors = squares[::-1][:rank], vectors[:, ::-1][:, :rank]
-    return np.ascontiguousarray(x @ vectors / np.sqrt(np.maximum(squares, 1e-6 * max(squares[0], 1e-9))), np.float32)
+    # The columns of z @ vectors are singular vectors times the square roots of ``squares``, A's squared values.
+    return z @ (vectors / np.maximum(squares, 1e-6 * max(squares[0], 1e-9))).astype(np.float32)
 
 
 def subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -222,10 +237,12 @@ def subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - v.bit_count()
 
 
-def _item_vectors(bench: Benchmark, idf: np.ndarray, axes: np.ndarray, m: int) -> np.ndarray:
+def _item_vectors(bench: Benchmark, idf: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    axis = (bench.vocabulary >> np.uint64(48)).astype(np.int64)
     row = np.repeat(np.arange(len(bench.items)), [len(t) for t in bench.terms])
-    row, col, tf = _distinct(row, np.concatenate(bench.terms).astype(np.int64), m)
-    out = _rows_times(row, len(bench.items), ((1 + np.log(tf)) * idf[col]).astype(np.float32), axes, col % len(axes))
+    out = np.zeros((len(bench.items), axes.shape[1]), np.float32)
+    col = axis[np.concatenate(bench.terms)]
+    np.add.at(out, row, axes[col] * idf[col][:, None])
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
@@ -283,31 +300,26 @@ def _by_words(place: np.ndarray, term: np.ndarray, ends: np.ndarray, first: np.n
     return np.concatenate(windows), np.concatenate(items)
 
 
-def _matching(held, idf: np.ndarray, m: int, min_cosine: float, min_lcs: float, min_answer: float) -> Callable:
+def _matching(held, idf: np.ndarray, min_cosine: float, min_lcs: float, min_answer: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench, axes, items, rarer = held.value
         own = [np.unique(t) for t in bench.terms]
         size = np.array([len(t) for t in bench.terms])
         for batch in batches:
-            block, term, first, counts = _blocks(batch)
+            blocks, first, counts = _blocks(batch.column("axes"))
             at = batch.column("at")
-            place, ends = at.flatten().to_numpy(), at.offsets.to_numpy() - at.offsets[0].as_py()
+            place, term = at.flatten().to_numpy(), batch.column("term").flatten().to_numpy()
+            ends = at.offsets.to_numpy() - at.offsets[0].as_py()
             ids = batch.column("doc_id")
             total = int(counts.sum())
             owner = np.repeat(np.arange(len(counts)), counts)
-            weighty = idf[term] > 0
-            row, col, tf = _distinct(block[weighty], term[weighty], m)
-            bounds = np.searchsorted(row, np.arange(0, total + 4096, 4096))
             if not total:
                 continue
             lexical, lexical_item = _by_words(place, term, ends, first, counts, rarer, size)
             best: dict[tuple[int, int], tuple] = {}
             carry = None
-            for k in range(len(bounds) - 1):  # 4096 blocks at a time; the block before joins the next window
-                a, b, base = bounds[k], bounds[k + 1], 4096 * k
-                n = min(4096, total - base)
-                part = _rows_times(row[a:b] - base, n, ((1 + np.log(tf[a:b])) * idf[col[a:b]]).astype(np.float32), axes, col[a:b] % len(axes))
-                start = base
+            for base in range(0, total, 4096):  # blocks at a time; the block before joins the next window
+                part, start = _folded(blocks[base : base + 4096], idf, axes), base
                 if carry is not None:
                     part, start = np.concatenate([carry, part]), base - 1
                 carry = part[-1:]
@@ -363,31 +375,36 @@ def _matching(held, idf: np.ndarray, m: int, min_cosine: float, min_lcs: float,
 _LEAK = "doc_id long, item_id long, start_word int, cosine double, lcs double, answer double"
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MIN_COSINE, min_lcs: float = MIN_LCS, min_answer: float = MIN_ANSWER, rank: int = RANK) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MIN_COSINE, min_lcs: float = MIN_LCS, min_answer: float = MIN_ANSWER, rank: int = RANK, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Rows (doc_id, item_id, start_word, cosine, lcs, answer): documents that hold an item, or a paraphrase
     of it, with its best window."""
-    bench = load_benchmark(benchmark)
     spark = docs.sparkSession
-    if not bench.items:
-        return spark.createDataFrame([], _LEAK)
-    m = len(bench.vocabulary)
+    found, space = spark.createDataFrame([], _LEAK), None
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kept = materialize(keys.mapInArrow(_keeping(bench.vocabulary), "doc_id long, n_words int, at array<int>, term array<int>"), "terms")
-    counts = kept.mapInArrow(_frequencies(m), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(m + 1, np.int64)
-    df[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
-    idf = (np.log((1 + df[m]) / (1 + df[:m])) + 0.1) ** 2
-    idf[df[:m] > MOST_SHARE * max(df[m], 1 / MOST_SHARE)] = 0  # words that tell no passage apart
-    if not idf.any():
-        idf[:] = 1
-    axes = latent_axes(kept, idf, m, rank)
-    held = spark.sparkContext.broadcast((bench, axes, _item_vectors(bench, idf, axes, m), rarer_words(bench, df[:m], min_lcs)))
-    return kept.mapInArrow(_matching(held, idf, m, min_cosine, min_lcs, min_answer), _LEAK)
+    slices = math.ceil((benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / slice_bytes)
+    for k in range(slices):
+        bench = load_benchmark(benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k) if slices > 1 else benchmark)
+        if not bench.items:
+            continue
+        kept = materialize(keys.mapInArrow(_keeping(bench.vocabulary), "doc_id long, axes binary, at array<int>, term array<int>"), "terms")
+        if space is None:
+            counts = kept.select("axes").mapInArrow(_frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+            df = np.zeros(AXES + 1, np.int64)
+            df[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
+            idf = ((np.log((1 + df[AXES]) / (1 + df)) + 0.1) ** 2).astype(np.float32)
+            idf[AXES] = 0
+            space = df, idf, _padded(latent_axes(kept, idf, rank))
+        df, idf, axes = space
+        often = df[(bench.vocabulary >> np.uint64(48)).astype(np.int64)]
+        held = spark.sparkContext.broadcast((bench, axes, _item_vectors(bench, idf, axes), rarer_words(bench, often, min_lcs)))
+        part = kept.mapInArrow(_matching(held, idf, min_cosine, min_lcs, min_answer), _LEAK)
+        found = part if slices == 1 else found.unionByName(part)
+    return found
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, with their columns. A flagged id drops its rows; rows
-    with a null id are dropped by their text."""
-    keyed = docs.withColumn("_k", F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64("text").bitwiseAND((1 << 62) - 1)) - 1))
-    found = leaks(keyed.select(F.col("_k").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_k")).distinct()
-    return keyed.join(found, "_k", "left_anti").select(docs.columns)
+    """The documents whose text holds no benchmark item, with their columns."""
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("k"))
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    found = leaks(texts, benchmark).select(F.col("doc_id").alias("k")).distinct()
+    return rows.join(found, "k", "left_anti").select("row.*")
