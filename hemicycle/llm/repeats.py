@@ -1,16 +1,22 @@
-"""Where word passages repeat across documents: the part suffix arrays and suffix trees share.
+"""Where word passages repeat: the part suffix arrays and suffix trees share.
 
 Every passage of ``min_words`` words holds at least one anchor: the least k-gram hash among the
 ``w`` k-grams of the passage (k + w - 1 = min_words). Equal passages pick equal anchors, whatever
-their offset, so only occurrences of an anchor that at least two documents hold can repeat. For
-each occurrence the context that its passages can reach (w - 1 words before, min_words after) is
-hashed; equal contexts are one class, and only anchors with several classes need their text,
-which is fetched once a class. A resolver (suffix array or suffix tree) then finds the equal
-passages between classes, exactly.
-
-Cost at scale: anchors are about 2 / (w + 1) of the words, 30 bytes each in one shuffle; texts
-cross the network once, only toward the classes that need them. No step pairs documents with one
-another, so a passage that n documents share costs n rows.
+their offset, so only an anchor that stands in two places (two documents, or one at least ``min_words``
+words apart) can repeat. For each occurrence the context that its passages can reach (w - 1 words
+before, min_words after) is hashed; equal contexts (64 bits, below one anchor's 64) are one class, and
+only anchors with several classes need their text, which is fetched once a class. A resolver (suffix
+array or suffix tree) then finds the equal passages between classes, exactly.
+
+Groups: contexts are partitioned by a prefix of their suffixes, first the anchor's k words. Where more
+than ``group`` contexts have one prefix, their suffixes of ``min_words`` words are told apart by longer
+prefixes, group by group, until each fits; suffixes that agree on all ``min_words`` words are one class
+again, which is aggregated, whatever its size.
+
+Cost at scale: anchors are about 2 / (w + 1) of the words. Anchors and classes are aggregated before they
+are shuffled and joined back, so that a passage in very many documents is split as any skewed join is; texts
+cross the network once, only toward the classes that need them. No step pairs documents with one another,
+so a passage that n documents share costs n rows.
 """
 
 from __future__ import annotations
@@ -19,30 +25,39 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hemicycle.llm._words import Words, signed, sliding, text_rows
+from hemicycle.llm._words import _Q, Rolling, Words, mix, signed, sliding, text_rows
 from hemicycle.session import materialize
 
 NO_ID = (1 << 63) - 1
 KGRAM = 24
-_OCC = "h long, c long, id long, t int, pos int, a short, b short"
-_CTX = "h long, c long, id long, t int, a short, words binary"
-_RES = "h long, c long, dup_lo short, dup_hi short, later_lo short, later_hi short"
-
-
-def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """id: doc_id, nulls as the greatest value; t: hash of the text. Together they name a document,
-    so that repeated rows are one document and one id with two texts is two."""
+GROUP = 20_000  # contexts of one prefix that a task holds at a time
+_KEY = "id long, t long, pos int, lid long, lt long, lpos int"  # a place, and the last place of its class
+_OCC = "h long, c long, id long, t long, pos int, a short, b short"
+_CTX = f"h long, {_KEY}, a short, words binary"
+_RES = "id long, t long, pos int, dup_lo short, dup_hi short, later_lo short, later_hi short"
+
+
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """id: doc_id, nulls as the greatest value; t: 63 bits of the text's hash, and a last bit that is set where
+    the id is null. Together they name a document, so that repeated rows are one document and one id with two
+    texts is two."""
+    null = F.col("doc_id").isNull()
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-        F.shiftright(F.xxhash64("text"), 32).cast("int").alias("t"),
+        F.xxhash64("text").bitwiseAND(F.lit(-2)).bitwiseOR(F.when(null, 1).otherwise(0)).alias("t"),
         F.col("text").alias("text"),
         *more,
     )
 
 
+def doc_id(key: Column, text: Column) -> Column:
+    """The doc_id of ``keyed``'s id and t."""
+    return F.when(text.bitwiseAND(F.lit(1)) == 0, key)
+
+
 def anchor_positions(words: Words, k: int, length: int) -> np.ndarray:
     """Positions whose k-gram is the least of some passage of ``length`` words within one row."""
     n, w = len(words.hash), length - k + 1
@@ -85,33 +100,64 @@ def _anchors(k: int, length: int) -> Callable:
     return run
 
 
-def _contexts(length: int) -> Callable:
+def _binary(words: np.ndarray, size: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32) * 4
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(words)])
+
+
+def _spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """lo, lo + 1, ... of each, one after another."""
+    return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words (32-bit hashes) of the asked contexts of each document."""
+    for batch in batches:
+        want = batch.column("want")
+        ids, ts = batch.column("id").to_numpy(), batch.column("t").to_numpy()
+        for a, b, data, offsets in text_rows(batch):
+            words = Words(data, offsets)
+            short = (words.hash >> np.uint64(32)).astype(np.uint32)
+            part = want.slice(a, b - a)
+            flat = part.flatten()
+            row = np.repeat(np.arange(b - a), np.diff(part.offsets.to_numpy()))
+            h, pos, lid, lt, lpos, before, after = (flat.field(i).to_numpy() for i in range(7))
+            lo, size = words.rows[row] + pos - before, before.astype(np.int64) + after
+            columns = h, ids[a:b][row], ts[a:b][row], pos, lid, lt, lpos, before
+            names = ["h", "id", "t", "pos", "lid", "lt", "lpos", "a", "words"]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), _binary(short[_spread(lo, size)], size)], names)
+
+
+def _words_of(blob: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    off = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1].astype(np.int64) // 4
+    return np.frombuffer(blob.buffers()[2] or b"", np.uint32), off
+
+
+def _suffixes(length: int, prefixes: tuple[int, ...]) -> Callable:
+    """Each suffix of a context, cut to ``length`` words, as a context of its own that starts with its anchor;
+    with hashes of its prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            want = batch.column("want")
-            ids, ts = batch.column("id").to_numpy(), batch.column("t").to_numpy()
-            for a, b, data, offsets in text_rows(batch):
-                words = Words(data, offsets)
-                short = (words.hash >> np.uint64(32)).astype(np.uint32)
-                part = want.slice(a, b - a)
-                flat = part.flatten()
-                row = np.repeat(np.arange(b - a), np.diff(part.offsets.to_numpy()))
-                h, c, pos, before, after = (flat.field(i).to_numpy() for i in range(5))
-                at = words.rows[row] + pos
-                lo, hi = at - before, at + after
-                size = hi - lo
-                out = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32) * 4
-                blob = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(short[out])])
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(ids[a:b][row]), pa.array(ts[a:b][row]), pa.array(before), blob], ["h", "c", "id", "t", "a", "words"])
+            words, off = _words_of(batch.column("words"))
+            many = np.maximum(np.diff(off) - length + 1, 0)
+            ctx = np.repeat(np.arange(len(many)), many)
+            start = _spread(np.zeros(len(many), np.int64), many)
+            at = off[ctx] + start
+            roll = Rolling(mix(words.astype(np.uint64) + np.uint64(1)), _Q)
+            shift = (start - batch.column("a").to_numpy()[ctx]).astype(np.int32)
+            columns = {n: batch.column(n).to_numpy()[ctx] for n in ("h", "id", "t", "pos", "lid", "lt", "lpos")}
+            columns |= {"pos": columns["pos"] + shift, "lpos": columns["lpos"] + shift, "a": np.zeros(len(ctx), np.int16)}
+            names = [f"p{k}" for k in range(len(prefixes))]
+            hashes = [pa.array(signed(roll.of(at, at + p))) for p in prefixes]
+            size = np.full(len(ctx), length, np.int64)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns.values()), _binary(words[_spread(at, size)], size), *hashes], [*columns, "words", *names])
 
     return run
 
 
 def _resolved(resolve: Callable, length: int, chunk: int) -> Callable:
-    """Feed whole anchors (rows sorted by h) to the resolver, about ``chunk`` contexts at a time."""
+    """Feed whole prefix groups (rows sorted by h) to the resolver, about ``chunk`` contexts at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -119,22 +165,24 @@ def _resolved(resolve: Callable, length: int, chunk: int) -> Callable:
 
         def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
             if table.num_rows:
-                h, c, ids, ts, a = (table.column(x).to_numpy() for x in ("h", "c", "id", "t", "a"))
-                first = np.ones(len(h), bool)
-                order = np.lexsort((c, h))
-                first[order[1:]] = (h[order[1:]] != h[order[:-1]]) | (c[order[1:]] != c[order[:-1]])
-                keep = np.flatnonzero(first)  # repeated rows give a class twice
-                table = table.take(keep)
-                h, c, ids, ts, a = h[keep], c[keep], ids[keep], ts[keep], a[keep].astype(np.int64)
-                blob = table.column("words").combine_chunks()
-                off = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1].astype(np.int64) // 4
-                words = np.frombuffer(blob.buffers()[2], np.uint32)
-                order = np.lexsort((ts, ids))
-                rank = np.empty(len(ids), np.int64)
-                new = np.concatenate([[0], np.cumsum((ids[order[1:]] != ids[order[:-1]]) | (ts[order[1:]] != ts[order[:-1]]))])
-                rank[order] = new
-                found = resolve(words, off, a, rank, h, length)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), *(pa.array(x.astype(np.int16)) for x in found)], ["h", "c", "dup_lo", "dup_hi", "later_lo", "later_hi"])
+                h, ids, ts, pos = (table.column(x).to_numpy() for x in ("h", "id", "t", "pos"))
+                order = np.lexsort((pos, ts, ids, h))
+                again = np.zeros(len(h), bool)  # repeated rows give a place twice
+                x, y = order[1:], order[:-1]
+                again[x] = (h[x] == h[y]) & (ids[x] == ids[y]) & (ts[x] == ts[y]) & (pos[x] == pos[y])
+                table = table.filter(pa.array(~again))
+                ids, ts, pos, lid, lt, lpos, a = (table.column(x).to_numpy() for x in ("id", "t", "pos", "lid", "lt", "lpos", "a"))
+                words, off = _words_of(table.column("words").combine_chunks())
+                every = np.concatenate([ids, lid]), np.concatenate([ts, lt])
+                order = np.lexsort(every[::-1])
+                rank = np.empty(len(order), np.int64)
+                new = (every[0][order[1:]] != every[0][order[:-1]]) | (every[1][order[1:]] != every[1][order[:-1]])
+                rank[order] = np.concatenate([[0], np.cumsum(new)])
+                a = a.astype(np.int64)
+                first, last = (rank[: len(ids)] << 32) + pos - a, (rank[len(ids) :] << 32) + lpos - a
+                found = resolve(words, off, a, first, last, length)
+                columns = ids, ts, pos, *(x.astype(np.int16) for x in found)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["id", "t", "pos", "dup_lo", "dup_hi", "later_lo", "later_hi"])
 
         for batch in batches:
             held.append(batch)
@@ -154,58 +202,97 @@ def _resolved(resolve: Callable, length: int, chunk: int) -> Callable:
     return run
 
 
-def ranges(words_off: np.ndarray, a: np.ndarray, start: np.ndarray, ctx: np.ndarray, mark: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each context, the span (relative to its anchor) of the marked passages; empty: (0, 0).
-    All of a context's passages hold its anchor, so their union is one span."""
-    n = len(a)
-    lo, hi = np.full(n, 1 << 30), np.full(n, -(1 << 30))
-    np.minimum.at(lo, ctx[mark], start[mark] - a[ctx[mark]])
-    np.maximum.at(hi, ctx[mark], start[mark] - a[ctx[mark]] + length)
-    none = hi < lo
-    lo[none] = hi[none] = 0
-    return lo, hi
-
-
-def repeated_words(docs: DataFrame, resolve: Callable, min_words: int, kgram: int = KGRAM, chunk: int = 8000) -> DataFrame:
-    """(id, t, lo, hi, later): spans of words that other documents hold too. ``later`` spans are those
-    of which a document with a smaller (doc_id, text hash) holds a copy. Spans of one kind may overlap."""
+def marks(a: np.ndarray, start: np.ndarray, ctx: np.ndarray, own: np.ndarray, least: np.ndarray, most: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """For each context, the spans (relative to its anchor) of its passages that stand elsewhere too, and of
+    those that stand earlier: ``own``, ``least`` and ``most`` are a passage's place and its group's first and
+    last, documents' ranks in the high half. All of a context's passages hold its anchor, so their union is one
+    span; empty: (0, 0)."""
+    earlier = own - least >= length  # another document's place is further than any length
+    out = []
+    for mark in (earlier | (most - own >= length), earlier):
+        lo, hi = np.full(len(a), 1 << 30), np.full(len(a), -(1 << 30))
+        np.minimum.at(lo, ctx[mark], start[mark] - a[ctx[mark]])
+        np.maximum.at(hi, ctx[mark], start[mark] - a[ctx[mark]] + length)
+        none = hi < lo
+        lo[none] = hi[none] = 0
+        out += [lo, hi]
+    return tuple(out)
+
+
+def _far(place: Column, other: Column, length: int) -> Column:
+    """Two places (id, t, pos) in two documents, or ``length`` words apart."""
+    return (place["id"] != other["id"]) | (place["t"] != other["t"]) | (F.abs(place["pos"] - other["pos"]) >= length)
+
+
+def _split(suffixes: DataFrame, prefixes: int, group: int, resolved: Callable, length: int) -> DataFrame:
+    """Spans (id, t, lo, hi, later) of the suffixes of hot prefixes: the prefix grows until its group fits."""
+    out, rest = None, suffixes
+    for k in range(prefixes - 1):
+        sizes = rest.groupBy("h", f"p{k}").agg(F.count("*").alias("_n"))
+        small = rest.join(sizes.filter(F.col("_n") <= group), ["h", f"p{k}"]).withColumn("h", F.col(f"p{k}"))
+        found = resolved(small.select("h", "id", "t", "pos", "lid", "lt", "lpos", "a", "words"))
+        out = found if out is None else out.unionByName(found)
+        rest = materialize(rest.join(sizes.filter(F.col("_n") > group).drop("_n"), ["h", f"p{k}"]), "suffixes")
+    name, first, last = f"p{prefixes - 1}", F.struct("id", "t", "pos"), F.struct(F.col("lid").alias("id"), F.col("lt").alias("t"), F.col("lpos").alias("pos"))
+    ends = rest.groupBy("h", name).agg(F.min(first).alias("first"), F.max(last).alias("last"))
+    each = rest.join(ends, ["h", name]).withColumn("own", first)
+    each = each.withColumn("later", _far(F.col("own"), F.col("first"), length))
+    span = F.col("pos").alias("lo"), (F.col("pos") + length).alias("hi")
+    later = each.filter("later").select("id", "t", *span, F.lit(True).alias("later"))
+    dup = each.filter(F.col("later") | _far(F.col("own"), F.col("last"), length)).select("id", "t", *span, F.lit(False).alias("later"))
+    whole = later.unionByName(dup)
+    return whole if out is None else whole.unionByName(out)
+
+
+def repeated_words(docs: DataFrame, resolve: Callable, min_words: int, kgram: int = KGRAM, chunk: int = 8000, group: int = GROUP) -> DataFrame:
+    """(id, t, lo, hi, later): spans of words that stand elsewhere too, in another document or in the same one at
+    least ``min_words`` words away. ``later`` spans are those of which an earlier copy stands in a document with
+    a smaller (doc_id, text hash), or before in the same one. Spans of one kind may overlap."""
     if min_words <= kgram:
         kgram = max(1, min_words // 2)
     keys = keyed(docs)
     occ = keys.mapInArrow(_anchors(kgram, min_words), _OCC)
-    anchor, cls = Window.partitionBy("h"), Window.partitionBy("h", "c")
+    doc = F.xxhash64("id", "t")
+    ends = [f(x).alias(f"{f.__name__}_{n}") for n, x in (("d", doc), ("p", F.col("pos")), ("c", F.col("c"))) for f in (F.min, F.max)]
+    anchors = occ.groupBy("h").agg(*ends).filter(f"min_d <> max_d or max_p - min_p >= {min_words}").select("h", (F.col("min_c") != F.col("max_c")).alias("mixed"))
+    occ = materialize(occ.join(anchors, "h"), "anchors")
+    place = F.struct("id", "t", "pos")
+    classes = occ.groupBy("h", "c").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     occ = (
-        occ.withColumn("many", (F.min("id").over(anchor) != F.max("id").over(anchor)) | (F.min("t").over(anchor) != F.max("t").over(anchor)))
-        .filter("many")
-        .withColumn("mixed", F.min("c").over(anchor) != F.max("c").over(anchor))
-        .withColumn("rn", F.row_number().over(cls.orderBy("id", "t", "pos")))
-        .withColumn("fid", F.min("id").over(cls))
-        .withColumn("ft", F.min(F.when(F.col("id") == F.col("fid"), F.col("t"))).over(cls))
-        .withColumn("shared", (F.max("id").over(cls) != F.col("fid")) | (F.max("t").over(cls) != F.min("t").over(cls)))
-        .withColumn("own", (F.col("id") == F.col("fid")) & (F.col("t") == F.col("ft")))
-        .select("h", "c", "id", "t", "pos", "a", "b", "mixed", "shared", "own", "rn")
+        occ.join(classes, ["h", "c"])
+        .withColumn("later", _far(place, F.col("first"), min_words))
+        .withColumn("dup", F.col("later") | _far(place, F.col("last"), min_words))
+        .withColumn("last", F.when(F.col("mixed") & ~F.col("later"), F.col("last")))
+        .select("h", "id", "t", "pos", "a", "b", "later", "dup", "last")
     )
     occ = materialize(occ, "repeats")
-    want = (
-        occ.filter("mixed and rn = 1")
-        .groupBy("id", "t")
-        .agg(F.collect_list(F.struct("h", "c", "pos", "a", "b")).alias("want"))
-    )
-    found = (
-        keys.join(want, ["id", "t"])
-        .mapInArrow(_contexts(min_words), _CTX)
-        .repartition("h")
-        .sortWithinPartitions("h")
-        .mapInArrow(_resolved(resolve, min_words, chunk), _RES)
-    )
-    whole = (-F.col("a")).alias("lo"), F.col("b").alias("hi")
-    alone = occ.filter("not mixed or shared").select("id", "t", "pos", *whole, F.lit(False).alias("later"))
-    later = occ.filter("not own").select("id", "t", "pos", *whole, F.lit(True).alias("later"))
-    # For a class of one document, or its first document, the resolver says which passages other classes hold.
-    part = occ.filter("mixed and (own or not shared)").join(found, ["h", "c"])
-    between = part.filter("not shared and dup_hi > dup_lo").select("id", "t", "pos", F.col("dup_lo").alias("lo"), F.col("dup_hi").alias("hi"), F.lit(False).alias("later"))
-    between_later = part.filter("own and later_hi > later_lo").select("id", "t", "pos", F.col("later_lo").alias("lo"), F.col("later_hi").alias("hi"), F.lit(True).alias("later"))
-    return alone.unionByName(later).unionByName(between).unionByName(between_later).select("id", "t", (F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi"), "later")
+    whole = (F.col("pos") - F.col("a")).alias("lo"), (F.col("pos") + F.col("b")).alias("hi")
+    out = occ.filter("dup").select("id", "t", *whole, F.lit(False).alias("later"))
+    out = out.unionByName(occ.filter("later").select("id", "t", *whole, F.lit(True).alias("later")))
+    # For the first places of a class, the resolver says which passages other classes hold.
+    part = occ.filter("last is not null")
+    hot = materialize(part.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("h"), "hot")
+    asked = F.struct("h", "pos", F.col("last.id"), F.col("last.t"), F.col("last.pos"), "a", "b")
+
+    def contexts(places: DataFrame) -> DataFrame:
+        want = places.groupBy("id", "t").agg(F.collect_set(asked).alias("want"))
+        return keys.join(want, ["id", "t"]).mapInArrow(_contexts, _CTX)
+
+    def resolved(rows: DataFrame) -> DataFrame:
+        tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        found = rows.repartition(tasks, "h").sortWithinPartitions("h").mapInArrow(_resolved(resolve, min_words, chunk), _RES)
+        span = lambda x: ((F.col("pos") + F.col(f"{x}_lo")).alias("lo"), (F.col("pos") + F.col(f"{x}_hi")).alias("hi"), F.lit(x == "later").alias("later"))
+        spans = [F.struct(*span(x)) for x in ("dup", "later")]
+        return found.select("id", "t", F.explode(F.array(*spans)).alias("s")).select("id", "t", "s.*").filter("hi > lo")
+
+    if hot.isEmpty():
+        return out.unionByName(resolved(contexts(part)))
+    step = max(1, (min_words - kgram) // 3)
+    prefixes = (kgram + step, kgram + 2 * step, min_words)
+    schema = f"h long, {_KEY}, a short, words binary, {', '.join(f'p{k} long' for k in range(len(prefixes)))}"
+    suffixes = materialize(contexts(part.join(hot, "h")).mapInArrow(_suffixes(min_words, prefixes), schema), "suffixes")
+    out = out.unionByName(resolved(contexts(part.join(hot, "h", "left_anti"))))
+    return out.unionByName(_split(suffixes, len(prefixes), group, resolved, min_words))
 
 
 def merged(spans: DataFrame) -> DataFrame:
@@ -224,7 +311,7 @@ def merged(spans: DataFrame) -> DataFrame:
 def report(spans: DataFrame) -> DataFrame:
     """One row for each repeated span: doc_id, first word, end, number of words."""
     return merged(spans.filter("not later")).select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
+        doc_id(F.col("id"), F.col("t")).alias("doc_id"),
         F.col("lo").alias("start_word"),
         F.col("hi").alias("end_word"),
         (F.col("hi") - F.col("lo")).alias("n_words"),
@@ -251,19 +338,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = words.start[end] if end < last else offsets[row + 1]
                 parts.append(raw[at : offsets[row + 1]].tobytes())
                 texts.append(b"".join(parts).decode().strip())
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in batch.schema.names if n not in ("text", "spans")), pa.array(texts, pa.string())], [*(n for n in batch.schema.names if n not in ("text", "spans")), "text"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+
+
+def quoted(names: list[str]) -> list[Column]:
+    return [F.col(f"`{n}`") for n in names]
 
 
 def without_later(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """The documents, without the spans that an earlier document holds; those left empty go."""
+    """The documents, without the spans of which an earlier copy stands; those left empty go."""
     names = docs.columns
     cut = merged(spans.filter("later")).groupBy("id", "t").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    rows = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_t": F.shiftright(F.xxhash64("text"), 32).cast("int")})
-    rows = rows.join(cut.withColumnsRenamed({"id": "_id", "t": "_t", "spans": "_spans"}), ["_id", "_t"], "left").drop("_id", "_t")
-    kept, changed = rows.filter("_spans is null").select(names), rows.filter("_spans is not null").withColumnRenamed("_spans", "spans")
-    rest = [n for n in names if n != "text"]
-    schema = changed.select(*rest, "text").schema
+    rows = keyed(docs, F.struct(*quoted([n for n in names if n != "text"])).alias("row")).join(cut, ["id", "t"], "left")
+    kept, changed = rows.filter("spans is null").select("row", "text"), rows.filter("spans is not null").select("row", "text", "spans")
+    schema = kept.schema
     new = changed.mapInArrow(_cut, schema).filter("text <> ''")
-    if "n_chars" in names:
-        new = new.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return kept.unionByName(new.select(names))
+    kind = dict(docs.dtypes).get("n_chars")
+
+    def columns(df: DataFrame, cut: bool) -> DataFrame:
+        of = lambda n: F.col("text") if n == "text" else F.length("text").cast(kind) if n == "n_chars" and cut else F.col("row").getField(n)
+        return df.select(*(of(n).alias(n) for n in names))
+
+    return columns(kept, False).unionByName(columns(new, True))

@@ -4,11 +4,14 @@ The contexts of repeated anchors (see ``repeats``) form the shards. In each shar
 classified as S or L, leftmost-smaller substrings are sorted and named (recursively, where names
 tie), the whole array is induced from them in linear time, and common prefixes are computed in
 text order (the permuted array, by Karkkainen, Manzini and Puglisi). Neighbours in the array
-that share ``min_words`` words are equal passages.
+that share ``min_words`` words are equal passages. Contexts that are equal as a whole stand for one
+another by their hashes (64 bits, below an anchor's 64) and enter the array once.
 
 Defined results: null and empty texts, and texts of fewer than ``min_words`` words, repeat nothing;
-rows equal in doc_id and text are one document; a null doc_id is a document whose id stays null;
-other columns are ignored; an empty table gives no row. Repeats inside one document alone don't count.
+texts of any length are read whole; rows equal in doc_id and text are one document; a null doc_id is a
+document whose id stays null; a passage counts where another document holds it, or the same one at least
+``min_words`` words away; every copy is reported, so ties need no rule; other columns are ignored,
+whatever their names; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -107,7 +110,7 @@ def permuted_common_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.
     return np.array(out, np.int64)
 
 
-def resolve(words: np.ndarray, off: np.ndarray, a: np.ndarray, rank: np.ndarray, h: np.ndarray, length: int):
+def resolve(words: np.ndarray, off: np.ndarray, a: np.ndarray, own: np.ndarray, end: np.ndarray, length: int):
     """Equal passages of ``length`` words between the contexts of a shard (``repeats._resolved``)."""
     size = np.diff(off)
     symbols = np.unique(words[off[0] : off[-1]], return_inverse=True)[1] + 1
@@ -127,13 +130,12 @@ def resolve(words: np.ndarray, off: np.ndarray, a: np.ndarray, rank: np.ndarray,
         return zero, zero, zero, zero
     cut = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
     group = np.cumsum(np.concatenate([[0], run[1:] != run[:-1]]))
-    least, most = np.minimum.reduceat(rank[ctx], cut)[group], np.maximum.reduceat(rank[ctx], cut)[group]
-    dup = repeats.ranges(off, a, start, ctx, least != most, length)
-    later = repeats.ranges(off, a, start, ctx, least < rank[ctx], length)
-    return *dup, *later
+    here = own[ctx] + start
+    least, most = np.minimum.reduceat(here, cut)[group], np.maximum.reduceat(end[ctx] + start, cut)[group]
+    return repeats.marks(a, start, ctx, here, least, most, length)
 
 
-def suffix_array_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
+def suffix_array_repeats(docs: DataFrame, min_words: int = 50, group: int = repeats.GROUP) -> DataFrame:
     """Rows (doc_id, start_word, end_word, n_words): the spans of words that lie in passages of
-    ``min_words`` or more words which at least one other document holds."""
-    return repeats.report(repeats.repeated_words(docs, resolve, min_words))
+    ``min_words`` or more words which stand elsewhere too."""
+    return repeats.report(repeats.repeated_words(docs, resolve, min_words, group=group))

@@ -1,16 +1,18 @@
 """Substring dedup by prefix-partitioned suffix trees.
 
-Suffixes that start at an anchor (see ``repeats``) are split by their first words: the hash of the
-k-gram is the partitioning prefix, of one length for all, and each task cuts its sorted stream into
-groups where that hash changes, about ``chunk`` contexts each. A prefix with more contexts than that
-is one group, whatever its size: prefixes aren't lengthened. In a group the suffixes are sorted, their
-common prefixes give the subtree's internal nodes, and the nodes at depth ``min_words - o`` whose leaves
-also agree on the ``o`` words to the left are the repeats of at least ``min_words`` words; joined spans of
-neighbouring anchors are the maximal repeats.
+Suffixes that start at an anchor (see ``repeats``) are split by their first words, and each task builds the
+subtrees of its prefixes, about ``chunk`` contexts at a time. The prefix has the anchor's 24 words; where more
+contexts than ``group`` share it, it is lengthened (32, 40, and at last all 50 words asked for) for the suffixes
+of that group only, until each group fits in memory. In a group the suffixes are sorted, their common prefixes
+give the subtree's internal nodes, and the nodes at depth ``min_words - o`` whose leaves also agree on the ``o``
+words to the left are the repeats of at least ``min_words`` words; joined spans of neighbouring anchors are the
+maximal repeats.
 
-Defined results: as for the suffix array: null, empty and short texts repeat nothing; rows equal in
-doc_id and text are one document; null ids stay null; other columns stay as they are; an empty table
-gives an empty table. Of each repeated passage the copy in the document with the smallest doc_id stays.
+Defined results: null, empty and short texts repeat nothing; texts of any length are read whole; rows equal in
+doc_id and text are one document; a null doc_id stays null; a passage counts where another document holds it, or
+the same one at least ``min_words`` words away; columns stay as they are, whatever their names; an empty table
+gives an empty table. Of each repeated passage the copy in the document with the smallest doc_id stays (nulls
+come last, ties go by the text's hash), and in one document the first.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def internal_nodes(common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
     return tuple(np.array(x, np.int64) for x in (depth, up, first, last))
 
 
-def resolve(words: np.ndarray, off: np.ndarray, a: np.ndarray, rank: np.ndarray, h: np.ndarray, length: int):
+def resolve(words: np.ndarray, off: np.ndarray, a: np.ndarray, own: np.ndarray, end: np.ndarray, length: int):
     """Equal passages of ``length`` words between the contexts of a group (``repeats._resolved``)."""
     n, size = len(a), np.diff(off)
     left, right = int(a.max(initial=0)), size - a
@@ -50,7 +52,7 @@ def resolve(words: np.ndarray, off: np.ndarray, a: np.ndarray, rank: np.ndarray,
     here = col[None, :] < right[:, None]
     wide[here] = (words[(off[:-1] + a)[:, None] + col[None, :]][here] if words.size >= off[-1] + length else words[np.minimum((off[:-1] + a)[:, None] + col[None, :], len(words) - 1)][here]) | 1
     order = np.argsort(np.ascontiguousarray(wide).view(f"S{4 * length}").ravel(), kind="stable")
-    wide, a, right, rank_ = wide[order], a[order], right[order], rank[order]
+    wide, a, right, own, end = wide[order], a[order], right[order], own[order], end[order]
     differ = wide[1:] != wide[:-1]
     common = np.where(differ.any(1), differ.argmax(1), length)
     depth, up, first, last = internal_nodes(common, length - left)
@@ -76,26 +78,27 @@ def resolve(words: np.ndarray, off: np.ndarray, a: np.ndarray, rank: np.ndarray,
         leaf, node = leaf[by], node[by]
         new = np.concatenate([[True], (node[1:] != node[:-1]) | (back[leaf[1:], o] != back[leaf[:-1], o])])
         cut, group = np.flatnonzero(new), np.cumsum(new) - 1
-        lows.append(np.minimum.reduceat(rank_[leaf], cut)[group])
-        highs.append(np.maximum.reduceat(rank_[leaf], cut)[group])
-        starts.append(a[leaf] - o)
+        start = a[leaf] - o
+        lows.append(np.minimum.reduceat(own[leaf] + start, cut)[group])
+        highs.append(np.maximum.reduceat(end[leaf] + start, cut)[group])
+        starts.append(start)
         owners.append(leaf)
     if not starts:
         zero = np.zeros(n, np.int64)
         return zero, zero, zero, zero
     start, owner, low, high = (np.concatenate(x) for x in (starts, owners, lows, highs))
-    found = *repeats.ranges(off, a, start, owner, low != high, length), *repeats.ranges(off, a, start, owner, low < rank_[owner], length)
+    found = repeats.marks(a, start, owner, own[owner] + start, low, high, length)
     back_to = np.empty(n, np.int64)
     back_to[order] = np.arange(n)
     return tuple(x[back_to] for x in found)
 
 
-def suffix_tree_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """Rows (doc_id, start_word, end_word, n_words): maximal spans of words repeated across documents."""
-    return repeats.report(repeats.repeated_words(docs, resolve, min_words, chunk=20000))
+def suffix_tree_repeats(docs: DataFrame, min_words: int = 50, group: int = repeats.GROUP) -> DataFrame:
+    """Rows (doc_id, start_word, end_word, n_words): maximal spans of repeated words."""
+    return repeats.report(repeats.repeated_words(docs, resolve, min_words, chunk=20000, group=group))
 
 
-def remove_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """The documents without the passages that a document with a smaller doc_id holds too.
-    Columns stay as they are; n_chars follows the text; documents that end up empty are dropped."""
-    return repeats.without_later(docs, repeats.repeated_words(docs, resolve, min_words, chunk=20000))
+def remove_repeats(docs: DataFrame, min_words: int = 50, group: int = repeats.GROUP) -> DataFrame:
+    """The documents without the passages of which an earlier copy stands. Columns stay as they are; n_chars
+    follows the text; documents that end up empty are dropped."""
+    return repeats.without_later(docs, repeats.repeated_words(docs, resolve, min_words, chunk=20000, group=group))
