@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hemicycle.llm._words import Words, lower_ascii, mix, signed, text_rows
-from hemicycle.llm.repeats import NO_ID, keyed
+from hemicycle.llm.repeats import doc_id, keyed
 from hemicycle.session import materialize
 
 K = 64
@@ -169,7 +169,7 @@ def _verifying(n: int, threshold: float) -> Callable:
 def similar_groups(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, shingle: int = SHINGLE) -> DataFrame:
     """(id, t, root): every document that has words, and its group's name."""
     keys = keyed(docs)
-    sketches = materialize(keys.mapInArrow(_sketching(k, shingle), "id long, t int, node long, n long, sketch array<long>"), "sketches")
+    sketches = materialize(keys.mapInArrow(_sketching(k, shingle), "id long, t long, node long, n long, sketch array<long>"), "sketches")
     nodes = materialize(sketches.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("id", "t")).alias("doc")), "nodes")
     size = F.size("sketch")
     need = F.element_at(F.array(*(F.lit(needed(s, k, threshold)) for s in range(1, k + 1))), F.col("s"))
@@ -212,21 +212,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, s
     """Rows (keep_doc_id, doc_ids, n_docs): the groups of two or more documents; the one that stays has
     the smallest doc_id (a null comes last)."""
     groups = similar_groups(docs, threshold, k, shingle).distinct()
-    ids = F.transform(F.sort_array(F.collect_list("id")), lambda x: F.when(x != NO_ID, x))
+    ids = F.transform(F.sort_array(F.collect_list(F.struct("id", "t"))), lambda x: doc_id(x["id"], x["t"]))
     return groups.groupBy("root").agg(ids.alias("doc_ids"), F.count("*").alias("n_docs")).filter("n_docs > 1").select(F.col("doc_ids")[0].alias("keep_doc_id"), "doc_ids", "n_docs")
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, shingle: int = SHINGLE) -> DataFrame:
     """The documents, one of each group; those without words stay. Of equal rows one stays."""
     groups = materialize(similar_groups(docs, threshold, k, shingle), "groups")
-    by = Window.partitionBy("root").orderBy("id", "t")
-    ranked = groups.withColumn("rank", F.row_number().over(by))
-    first = F.first(F.struct("id", "t")).over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    ranked = ranked.withColumn("first", first)
-    gone = ranked.filter((F.col("first.id") != F.col("id")) | (F.col("first.t") != F.col("t"))).select("id", "t").distinct()
-    twice = ranked.filter((F.col("first.id") == F.col("id")) & (F.col("first.t") == F.col("t")) & (F.col("rank") > 1)).select("id", "t").distinct()
-    rows = docs.withColumns({"id_": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "t_": F.shiftright(F.xxhash64("text"), 32).cast("int")})
-    mark = gone.withColumn("gone_", F.lit(True)).unionByName(twice.withColumn("gone_", F.lit(False)))
-    rows = rows.join(mark.withColumnsRenamed({"id": "id_", "t": "t_"}), ["id_", "t_"], "left")
-    once = rows.filter("not gone_").dropDuplicates(["id_", "t_"])
-    return rows.filter("gone_ is null").unionByName(once).select(docs.columns)
+    firsts = groups.groupBy("root").agg(F.min(F.struct("id", "t")).alias("first"))
+    marks = groups.join(firsts, "root").groupBy("id", "t").agg(F.min((F.struct("id", "t") == F.col("first"))).alias("stays"), (F.count("*") > 1).alias("twice"))
+    rows = keyed(docs, F.struct("*").alias("row")).drop("text").join(marks.filter("not stays or twice"), ["id", "t"], "left")
+    once = rows.filter("stays and twice").groupBy("id", "t").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return rows.filter("stays is null").select("row.*").unionByName(once.select("row.*"))
