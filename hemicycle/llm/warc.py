@@ -4,15 +4,22 @@ A capture is a response with the request and the metadata that name it, or that
 WARC-Concurrent-To; a record that names another request or metadata record follows one more step. Headers
 (short) are joined on record ids; payloads stay with their own record and move once.
 
-Defined results: records without an id and broken records are skipped; a response without request or
-metadata gives a capture with empty lists; a request or metadata record that leads to no response gives
-none; repeated records count once; null urls and texts are written as empty; an empty table gives no capture.
+Defined results: a broken record (no length, a length that doesn't end at a record's end, a cut or damaged
+gzip member, foreign bytes) is skipped, and reading goes on at the next line that starts a record, or the next
+gzip member; what follows the last whole record of a cut file is lost, the rest isn't. Records without an id
+are skipped. Header blocks and payloads of any length are read whole. A response without request or metadata
+gives a capture with empty lists; a request or metadata record that leads to no response gives none; of
+records with one id that with the least (date, URI, content) counts, so repeated ones count once. Pages equal
+in page_id, url and html are one capture, others are not; null urls and texts are written as empty; other
+columns are ignored, whatever their names; an empty table gives no capture.
 """
 
 from __future__ import annotations
 
 import gzip
+import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,6 +35,8 @@ from hemicycle.session import materialize, scratch_path
 _RECORD = "record_id string, type string, target_uri string, date string, concurrent_to array<string>, headers map<string,string>, content binary"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _BUFFER = 1 << 20
+_MAGIC = b"\x1f\x8b\x08"
+_START = re.compile(rb"WARC/\d")
 
 
 def record(kind: str, record_id: str, uri: str, date: str, content: bytes, mime: str, concurrent: tuple[str, ...] = ()) -> bytes:
@@ -68,7 +77,8 @@ def write_warc(pages: DataFrame, folder: str) -> DataFrame:
         with system.open_output_stream(draft, compression=None) as out:
             for batch in batches:
                 for i, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
-                    out.write(gzip.compress(capture_records(f"{i}/{url}", url or "", html or ""), compresslevel=4, mtime=0))
+                    key = hashlib.sha256(f"{i}/{url}/{html is None}/".encode() + (html or "").encode()).hexdigest()
+                    out.write(gzip.compress(capture_records(key, url or "", html or ""), compresslevel=4, mtime=0))
                     n += 1
         system.move(draft, f"{root}/{name}")
         if n:
@@ -78,58 +88,102 @@ def write_warc(pages: DataFrame, folder: str) -> DataFrame:
 
 
 class _Gunzip(io.RawIOBase):
-    """Reads concatenated gzip members from a stream."""
+    """Reads concatenated gzip members from a stream. Bytes between members, and what is left of a damaged
+    one, are skipped."""
 
     def __init__(self, raw):
-        self.raw, self.left, self.zip = raw, b"", zlib.decompressobj(31)
+        self.raw, self.left, self.zip = raw, b"", None
 
     def readable(self) -> bool:
         return True
 
+    def _more(self) -> bool:
+        new = self.raw.read(_BUFFER)
+        self.left += new
+        return bool(new)
+
+    def _open(self) -> bool:
+        """Go to the next member."""
+        while (at := self.left.find(_MAGIC)) < 0:
+            self.left = self.left[-2:]
+            if not self._more():
+                return False
+        self.left, self.zip = self.left[at:], zlib.decompressobj(31)
+        return True
+
     def readinto(self, into) -> int:
         while True:
-            if not self.left:
-                self.left = self.raw.read(_BUFFER)
-                if not self.left:
-                    return 0
-            out = self.zip.decompress(self.left, len(into))
+            if self.zip is None and not self._open() or not self.left and not self._more():
+                return 0
+            try:
+                out = self.zip.decompress(self.left, len(into))
+            except zlib.error:
+                self.left, self.zip = self.left[1:], None
+                continue
             self.left = self.zip.unconsumed_tail
             if self.zip.eof:
-                self.left, self.zip = self.zip.unused_data, zlib.decompressobj(31)
+                self.left, self.zip = self.zip.unused_data, None
             if out:
                 into[: len(out)] = out
                 return len(out)
 
 
+class _Pushback:
+    """A stream to which bytes can be given back."""
+
+    def __init__(self, stream):
+        self.stream, self.back = stream, io.BytesIO()
+
+    def unread(self, data: bytes) -> None:
+        self.back = io.BytesIO(data + self.back.read())
+
+    def read(self, n: int) -> bytes:
+        first = self.back.read(n)
+        return first + self.stream.read(n - len(first)) if len(first) < n else first
+
+    def readline(self) -> bytes:
+        first = self.back.readline()
+        return first if first.endswith(b"\n") else first + self.stream.readline()
+
+
+def _head(stream: _Pushback) -> tuple[dict[str, str], list[str]] | None:
+    """Header fields after a record's first line; None where the stream ends or another record begins."""
+    headers: dict[str, str] = {}
+    concurrent = []
+    name = ""
+    while (line := stream.readline()).strip():
+        if _START.match(line):
+            stream.unread(line)
+            return None
+        text = line.decode("utf-8", "replace").rstrip("\r\n")
+        if text[0] in " \t" and name:
+            headers[name] += " " + text.strip()
+            continue
+        name, _, value = text.partition(":")
+        name, value = name.strip().lower(), value.strip()
+        if name == "warc-concurrent-to":
+            concurrent.append(value.strip("<>"))
+        headers[name] = value
+    return (headers, concurrent) if line else None
+
+
 def parse_records(stream) -> Iterator[dict]:
-    """Records of an uncompressed stream, in order; a broken record ends its file."""
-    while True:
-        line = stream.readline()
-        if not line:
-            return
-        if line.strip() == b"":
+    """The whole records of an uncompressed stream, in order."""
+    stream = _Pushback(stream)
+    while line := stream.readline():
+        if not _START.match(line) or (head := _head(stream)) is None:
             continue
-        if not line.startswith(b"WARC/"):
-            return
-        headers: dict[str, str] = {}
-        concurrent = []
-        name = ""
-        while (line := stream.readline()).strip():
-            text = line.decode("utf-8", "replace").rstrip("\r\n")
-            if text[0] in " \t" and name:
-                headers[name] += " " + text.strip()
-                continue
-            name, _, value = text.partition(":")
-            name, value = name.strip().lower(), value.strip()
-            if name == "warc-concurrent-to":
-                concurrent.append(value.strip("<>"))
-            headers[name] = value
+        headers, concurrent = head
         size = headers.get("content-length", "")
-        if not size.isdigit():
-            return
+        if not (size.isascii() and size.isdigit()):
+            continue
         content = stream.read(int(size))
-        if len(content) < int(size):
-            return
+        end = stream.read(4)
+        if len(content) < int(size) or end != b"\r\n\r\n" and not (end.startswith(b"\n\n") or end == b""):
+            stream.unread(content + end)  # the length is wrong: other records may lie in what was read
+            continue
+        if end != b"\r\n\r\n":
+            stream.unread(end)
         yield {
             "record_id": headers.get("warc-record-id", "").strip("<>") or None,
             "type": headers.get("warc-type", "").lower(),
@@ -203,12 +257,15 @@ def assemble(heads: DataFrame, responses: DataFrame) -> DataFrame:
     far = step.join(near.withColumnRenamed("key", "other"), "other").select("key", "capture").join(near, "key", "left_anti")
     owner = near.unionByName(far.distinct())
     body = F.struct("record_id", "target_uri", "date", F.try_element_at("headers", F.lit("content-type")).alias("content_type"), "content")
-    small = known.filter("type in ('request', 'metadata')").dropDuplicates(["key"]).join(owner, "key").select("capture", "type", body.alias("part"))
+    whole = F.struct("date", "target_uri", "content", "type", "record_id", "headers")  # the least of one id's records
+    small = known.filter("type in ('request', 'metadata')").withColumn("headers", F.sort_array(F.map_entries("headers")))
+    small = small.groupBy("key").agg(F.min(whole).alias("r")).select("key", "r.*").withColumn("headers", F.map_from_entries("headers")).join(owner, "key").select("capture", "type", body.alias("part"))
     parts = small.groupBy("capture").agg(*(F.sort_array(F.collect_list(F.when(F.col("type") == kind, F.col("part")))).alias(name) for kind, name in (("request", "requests"), ("metadata", "metadata"))))
-    responses = responses.filter("record_id is not null and type = 'response'").withColumn("capture", key(F.col("record_id"))).dropDuplicates(["capture"])
+    responses = responses.filter("record_id is not null and type = 'response'").withColumn("capture", key(F.col("record_id")))
+    responses = responses.groupBy("capture").agg(F.min(F.struct("date", "target_uri", "content", "record_id")).alias("r")).select("capture", "r.*")
     # An HTTP message: status line, headers, empty line, body.
-    head = F.decode(F.substring("content", 1, 16384), "ISO-8859-1")
     blank = "locate('\\r\\n\\r\\n', decode(content, 'ISO-8859-1'))"
+    head = F.expr(f"decode(case when {blank} > 0 then substring(content, 1, {blank}) else content end, 'ISO-8859-1')")
     http = F.struct(
         F.regexp_extract(head, r"^HTTP/\S+ (\d{3})", 1).try_cast("int").alias("status"),
         F.regexp_extract(head, r"(?i)\r\ncontent-type:\s*([^\r]*)", 1).alias("content_type"),

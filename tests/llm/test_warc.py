@@ -1,8 +1,11 @@
 """WARC files: round trip, and assembly against plain dictionaries."""
 
 import gzip
+import io
 import random
 
+import pytest
+
 from hemicycle.llm import warc
 
 PAGES = "page_id long, url string, html string, record_id string"
@@ -60,3 +63,59 @@ def test_assembly_against_plain_loops(spark, tmp_path):
         assert {x.record_id for x in r.requests} == want[r.capture_id]["request"]
         assert {x.record_id for x in r.metadata} == want[r.capture_id]["metadata"]
         assert r.response.status == 404 and r.response.body == f"body{r.capture_id[4:]}".encode()
+
+
+def response(i, body=b"body", head=b""):
+    content = b"HTTP/1.1 200 OK\r\n" + head + b"Content-Type: text/html\r\n\r\n" + body
+    return warc.record("response", f"urn:{i}", f"http://{i}", "2024-01-01T00:00:00Z", content, "application/http")
+
+
+def ids(stream):
+    return [r["record_id"] for r in warc.parse_records(stream)]
+
+
+BROKEN = {
+    "no length": b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\n\r\nsome content\r\n\r\n",
+    "bad length": response("x").replace(b"Content-Length: ", b"Content-Length: -"),
+    "too short a length": response("x", b"y" * 50).replace(b"Content-Length: ", b"Content-Length: 1\r\nX: "),
+    "too long a length": response("x").replace(b"Content-Length: ", b"Content-Length: 9"),
+    "no length, cut head": b"WARC/1.1\r\nWARC-Type: response\r\n",
+    "foreign bytes": b"\x00\x01\xff not a record\r\nmore\r\n",
+}
+
+
+@pytest.mark.parametrize("broken", BROKEN.values(), ids=BROKEN)
+def test_a_broken_record_loses_no_other(broken):
+    data = response(0) + broken + response(1) + response(2)
+    assert ids(io.BytesIO(data)) == ["urn:0", "urn:1", "urn:2"]
+
+
+def gunzipped(data):
+    return ids(io.BufferedReader(warc._Gunzip(io.BytesIO(data))))
+
+
+def test_damaged_gzip_members():
+    member = lambda i: gzip.compress(response(i, random.Random(i).randbytes(5000)))
+    a, b, c = map(member, range(3))
+    assert gunzipped(a + b + c + b"\0" * 700) == ["urn:0", "urn:1", "urn:2"]
+    assert gunzipped(a + b"\0" * 700 + b + b"junk" + c) == ["urn:0", "urn:1", "urn:2"]
+    assert gunzipped(a + b + c[:-3000]) == ["urn:0", "urn:1"]
+    hurt = bytearray(b)
+    hurt[2000:2040] = bytes(40)
+    assert gunzipped(a + bytes(hurt) + c) in (["urn:0", "urn:2"], ["urn:0", "urn:1", "urn:2"])
+    assert gunzipped(a + b[:2000] + c) == ["urn:0", "urn:2"]
+    assert gunzipped(b"") == gunzipped(b"no gzip at all") == []
+
+
+def test_long_heads_ties_and_pages_of_one_url(spark, tmp_path):
+    long = response(0, head=b"X: " + b"a" * 20_000 + b"\r\n")
+    none = warc.record("response", "urn:3", "http://3", "2024", b"HTTP/1.1 204 No\r\n\r\ncontent-type: body", "application/http")
+    (tmp_path / "a.warc").write_bytes(long + response(1, b"zz") + response(1, b"aa") + none)
+    (tmp_path / "b.warc").write_bytes(response(1, b"mm") + response(1, b"aa"))
+    got = {r.capture_id: r.response for r in warc.captures(warc.list_warc(spark, f"file://{tmp_path}")).collect()}
+    assert got["urn:0"].content_type == "text/html" and got["urn:0"].status == 200 and got["urn:0"].body == b"body"
+    assert got["urn:1"].body == b"aa" and got["urn:3"].content_type == "" and len(got) == 3
+    pages = [(1, "http://a", "one", None), (1, "http://a", "two", None), (None, "http://b", "x", None), (None, "http://b", "y", None)]
+    rows = warc.page_captures(spark.createDataFrame(pages + pages[:1], PAGES)).collect()
+    assert sorted(bytes(r.response.body).decode() for r in rows) == ["one", "two", "x", "y"]
+    assert all(len(r.requests) == len(r.metadata) == 1 for r in rows)
