@@ -1,19 +1,24 @@
 """Variable-capacity best-fit packing of documents into training sequences.
 
 Documents fall into groups of bounded size by the hash of their id. In each group, pieces go in order
-of decreasing length into the open bin that they fill best; if none holds a piece, the permitted length
-is opened whose cost per expected token is least, given the tokens still to be packed; at the end each
-bin shrinks to the least permitted length that holds its contents. A piece is a document's tokens plus
-one separator; longer documents are cut into pieces of the greatest length, and nothing is left out.
-
-Defined results: null and empty texts have no tokens and take no place; repeated rows are packed each;
-ties go by doc_id; a null doc_id stays null; other columns are ignored; an empty table gives no bin.
+of decreasing length into the open bin that they fill best. If none holds a piece, each permitted length
+is tried on the pieces still to be packed: the longest that fit are counted into it one after another, and
+the length is opened whose cost, after shrinking to those contents, is least for each token held. At the end
+each bin shrinks to the least permitted length that holds its contents. A piece is a document's tokens plus
+one separator; longer documents are cut into pieces of the greatest length, and nothing is left out. Groups
+are cut by the number of documents, so packs change with it; their fill doesn't (a group's few last bins).
+
+Defined results: null and empty texts have no tokens and take no place; texts of any length are packed whole;
+repeated rows are packed each; ties go by doc_id, then by the piece's start, and of lengths at one cost the
+least is opened; a null doc_id stays null; other columns are ignored, whatever their names; an empty table
+gives no bin.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -33,15 +38,44 @@ def cost(capacity: int) -> float:
     return _OVERHEAD + capacity + capacity * capacity / 16384
 
 
+class _Waiting:
+    """Lengths still to be packed, with their numbers; the next length at or below another is found by halving."""
+
+    def __init__(self, lengths: Sequence[int]):
+        self.count = Counter(lengths)
+        self.sorted = sorted(self.count)
+
+    def take(self, n: int) -> None:
+        self.count[n] -= 1
+        if not self.count[n]:
+            del self.count[n], self.sorted[bisect_left(self.sorted, n)]
+
+    def fill(self, space: int) -> int:
+        """What the longest that fit, one after another, come to."""
+        start = space
+        top = len(self.sorted)
+        while space and (top := bisect_right(self.sorted, space, 0, top)):
+            n = self.sorted[top - 1]
+            space -= n * min(self.count[n], space // n)
+            top -= 1
+        return start - space
+
+
 def pack(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, price: Callable[[int], float] = cost) -> tuple[list[int], list[int], list[int]]:
     """Best fit for pieces in decreasing order: each piece's bin, each bin's contents and its final length."""
-    left = sum(lengths)
+    waiting = _Waiting(lengths)
     bins: list[int] = []
     used: list[int] = []
     size: list[int] = []
     room: list[int] = []  # distinct free spaces, ascending
     at: dict[int, list[int]] = {}
+
+    def each_token(n: int, capacity: int) -> tuple[float, int]:
+        held = n + waiting.fill(capacity - n)
+        return price(next(c for c in capacities if c >= held)) / held, capacity
+
     for n in lengths:
+        waiting.take(n)
         k = bisect_left(room, n)
         if k < len(room):
             free = room[k]
@@ -51,12 +85,11 @@ def pack(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, price:
                 del room[k], at[free]
         else:
             b = len(used)
-            size.append(min((c for c in capacities if c >= n), key=lambda c: (price(c) / min(c, left), c)))
+            size.append(min(each_token(n, c) for c in capacities if c >= n)[1])
             used.append(0)
             free = size[b]
         bins.append(b)
         used[b] += n
-        left -= n
         free -= n
         if free:
             if free in at:
