@@ -1,15 +1,17 @@
 """Token-id output: one zstandard frame a document, all with one shared dictionary.
 
-The dictionary is trained on the serialized ids of every document: each partition trains one on all
-of its documents, then groups of dictionaries are trained into one until a single one is left. All ids are
-handed to zstandard's fast cover, which at accel=4 itself counts one position in four and takes a quarter
-of its samples for the entropy tables; in the later levels those are 1 KB pieces of dictionaries. Each
+The dictionary is trained on the serialized ids of every document, all of which zstandard's fast cover counts
+(accel=1): each partition trains one on all of its documents, then groups of dictionaries are trained into one
+until a single one is left; in these later levels the samples are 1 KB pieces of dictionaries. Below 8 samples
+or 8 KiB, or where the trainer finds too little to repeat, the samples' last bytes are the dictionary. Each
 document is compressed by itself, so that a reader takes only its bytes: the index has shard, offset
 and length, and the dictionary's hash guards against decoding with another one. The result holds the
 dictionary itself, on the first row of each shard, so that nothing else is needed to decode it.
 
 Defined results: a null text gives a row with nulls for frame and token count and no bytes; an empty
-text gives an empty array's frame; repeated rows are stored each; an empty table gives no row.
+text gives an empty array's frame; texts of any length are one frame; repeated rows are stored each; rows have
+no order but that of the scan, so ties need no rule; a null doc_id stays null; other columns are ignored,
+whatever their names; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def train(samples: list[bytes], size: int) -> bytes:
     total = sum(map(len, samples))
     if len(samples) >= 8 and total > 8 * 1024:
         try:
-            return zstandard.train_dictionary(min(size, max(1024, total // 8)), samples, k=200, d=8, f=18, accel=4, level=LEVEL).as_bytes()
+            return zstandard.train_dictionary(min(size, max(1024, total // 8)), samples, k=200, d=8, f=18, accel=1, level=LEVEL).as_bytes()
         except zstandard.ZstdError:
             pass
     return b"".join(samples)[-size:]
