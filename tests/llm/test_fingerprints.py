@@ -51,6 +51,58 @@ def test_first_level_against_plain_version():
         assert got[0] == got[2] and len(got[0]) == len(want), text
 
 
+_ALL = (1 << 64) - 1
+
+
+def mixed(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & _ALL
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & _ALL
+    return x ^ x >> 31
+
+
+def slow_level(names, level, labels=None):
+    """One level by hand: names of the phrases."""
+    key, runs = labels or names, []
+    for name, k in zip(names, key):
+        if runs and runs[-1][1] == k:
+            runs[-1][2] += 1
+        else:
+            runs.append([name, k, 1])
+    single = [name if n == 1 else mixed((name + n * fp._BASE) & _ALL) for name, _, n in runs]
+    label, top = [k for _, k, _ in runs], 255 if labels else _ALL
+    for _ in range(3 if labels else 4):
+        out = []
+        for i, x in enumerate(label):
+            d = x ^ (label[i - 1] if i else x ^ top)
+            j = (d & -d).bit_length() - 1 if d else 0
+            out.append(2 * j + (x >> j & 1 if d else 0))
+        label, top = out, 255
+    m = len(label)
+    cuts = [0] + [i for i in range(1, m - 1) if label[i] > label[i - 1] and label[i] > label[i + 1]]
+    out = []
+    for a, b in zip(cuts, [*cuts[1:], m]):
+        if b - a == 1:
+            out.append(single[a])
+        else:
+            total = sum(x * pow(fp._BASE, k, 1 << 64) for k, x in enumerate(single[a:b])) & _ALL
+            out.append(mixed(total) ^ (level * 0x9E3779B97F4A7C15 & _ALL))
+    return out
+
+
+def test_every_level_against_plain_version():
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("aabcdefé  ") for _ in range(rng.randrange(1, 1500))) for _ in range(8)] + ["aaaa", "ab" * 300, "x"]
+    for level in (1, 2, 3, 4):
+        got = prints(texts, level)[0]
+        for text, found in zip(texts, got):
+            names, labels = [int(fp._BYTE[b]) for b in text.encode()], list(text.encode())
+            for k in range(1, level + 1):
+                names, labels = slow_level(names, k, labels), None
+            assert found == names, (level, text)
+
+
 def test_equal_substrings_share_interior_phrases_at_any_offset():
     rng = random.Random(2)
     noise = lambda n: "".join(rng.choice("abcdefghij klmno\n") for _ in range(n))

@@ -1,9 +1,11 @@
 """Token counts and output against the tokenizer itself, and exact round trips."""
 
 import json
+import random
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -101,32 +103,68 @@ def test_empty_table(spark, op):
     assert op(frame(spark, [])).collect() == []
 
 
+CAPACITIES = (8, 16, 32, 64)
+
+
+def price(c):
+    return 3 + c + c * c / 128
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=60))
-def test_best_fit_against_brute_force(lengths):
+def test_best_fit_against_plain_version(lengths):
+    """Each piece goes into the fullest bin that holds it; a bin is opened at the length that is cheapest for
+    each token, by filling every permitted length in turn from a plain list of what is left."""
     lengths = sorted(lengths, reverse=True)
-    capacities = (8, 16, 32, 64)
-    bins, used, size = packing.pack(lengths, capacities)
-    opened, room, want = [], [], []
-    left = sum(lengths)
-    for n in lengths:
-        fits = [b for b in range(len(room)) if room[b] >= n]
-        least = min((room[b] for b in fits), default=None)
-        if fits:
-            assert least in {room[b] for b in fits}
-            b = bins[len(want)]
-            assert room[b] == least  # the fullest bin that holds it
+    bins, used, size = packing.pack(lengths, CAPACITIES, price)
+    room = []
+    for i, n in enumerate(lengths):
+        least = min((r for r in room if r >= n), default=None)
+        b = bins[i]
+        if least is not None:
+            assert room[b] == least
         else:
-            b = len(room)
-            c = min((c for c in capacities if c >= n), key=lambda c: (packing.cost(c) / min(c, left), c))
-            room.append(c)
-            opened.append(c)
+            costs = []
+            for c in (c for c in CAPACITIES if c >= n):
+                held = n
+                for x in lengths[i + 1 :]:
+                    if held + x <= c:
+                        held += x
+                costs.append((price(min(d for d in CAPACITIES if d >= held)) / held, c))
+            assert b == len(room)
+            room.append(min(costs)[1])
         room[b] -= n
-        left -= n
-        want.append(b)
-    assert bins == want
-    assert used == [o - r for o, r in zip(opened, room)]
-    assert all(s == min(c for c in capacities if c >= u) for s, u in zip(size, used))
+    assert [sum(n for n, b in zip(lengths, bins) if b == k) for k in range(len(used))] == used
+    assert all(s == min(c for c in CAPACITIES if c >= u) for s, u in zip(size, used))
+
+
+def cheapest(lengths):
+    """The least total price of any partition into bins."""
+
+    def go(rest, sums):
+        if not rest:
+            return sum(price(min(c for c in CAPACITIES if c >= s)) for s in sums)
+        n, best = rest[0], float("inf")
+        for k in sorted({s: k for k, s in enumerate(sums) if s + n <= CAPACITIES[-1]}.values()):
+            best = min(best, go(rest[1:], sums[:k] + [sums[k] + n] + sums[k + 1 :]))
+        return min(best, go(rest[1:], [*sums, n]))
+
+    return go(sorted(lengths, reverse=True), [])
+
+
+def test_best_fit_against_the_optimum():
+    rng = random.Random(1)
+    ratios = []
+    for _ in range(60):
+        lengths = sorted((rng.randrange(1, rng.choice([10, 30, 64])) for _ in range(7)), reverse=True)
+        ratios.append(sum(map(price, packing.pack(lengths, CAPACITIES, price)[2])) / cheapest(lengths))
+    assert min(ratios) >= 1 - 1e-9 and sum(ratios) / len(ratios) < 1.05 and max(ratios) < 1.3
+
+
+def test_every_length_is_opened():
+    size = packing.pack([900, 500, 400, 100, 60])[2]
+    assert set(size) <= {512, 1024, 2048}
+    assert packing.pack([500])[2] == [512] and packing.pack([8000, 150])[2] == [8192]
 
 
 def test_packs_hold_every_token_once(spark, rows):
@@ -146,3 +184,15 @@ def test_packs_hold_every_token_once(spark, rows):
     for i, n in want:
         expected[i] = expected.get(i, 0) + n
     assert total == expected
+
+
+def test_whole_tokens_against_brute_force(spark, rows):
+    encoding = reference()
+    split = regex.compile(tokens.PATTERN)
+    whole = lambda p: split.findall(p) == [p] and len(encoding.encode_ordinary(p)) == 1
+    got = sorted((str(r.doc_id), str(r.n_whole), str(r.n_pretokens)) for r in tokens.token_counts(frame(spark, rows)).collect())
+    want = []
+    for i, t in rows:
+        pieces = split.findall(t) if t is not None else None
+        want.append((str(i), str(None if t is None else sum(map(whole, pieces))), str(None if t is None else len(pieces))))
+    assert got == sorted(want)
