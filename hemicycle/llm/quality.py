@@ -53,7 +53,7 @@ _FORM = np.uint64(0x5851F42D4C957F2D)
 
 class Model(NamedTuple):
     weight: np.ndarray  # of each bucket
-    axes: np.ndarray  # buckets by rank
+    axes: np.ndarray  # buckets by rank, in 16 bits
     vectors: np.ndarray
     ids: np.ndarray
     labels: np.ndarray  # two columns: bad, toxic
@@ -146,7 +146,7 @@ def _project(row: np.ndarray, term: np.ndarray, value: np.ndarray, n: int, axes:
         if lo < hi:
             part = row[lo:hi]
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            out[part[first], :-1] = np.add.reduceat(axes[term[lo:hi]] * value[lo:hi, None], first, axis=0)
+            out[part[first], :-1] = np.add.reduceat(axes[term[lo:hi]].astype(np.float32) * value[lo:hi, None], first, axis=0)
     out[:, -1] = _BIAS
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
@@ -218,6 +218,7 @@ def _product(held, back: bool) -> Callable:
         out = _sums(term - base, BUCKETS // _PARTS, row, value, x)
         if back:
             out, base = _sums(row, len(x), term - base, value, out), 0
+        out = out if back else out.astype(np.float16)
         at = list(range(0, len(out), _ROWS))
         return pa.table({"at": pa.array([base + a for a in at], pa.int32()), "rows": pa.array([out[a : a + _ROWS].tobytes() for a in at], pa.binary())})
 
@@ -234,10 +235,12 @@ def _multiply(sample: DataFrame, ids: np.ndarray, x: np.ndarray, back: bool) ->
     parts = sample.groupBy("part").applyInArrow(_product(held, back), _MATRIX)
     if back:
         parts = parts.groupBy("at").applyInArrow(_added, _MATRIX)
-    out = np.zeros((len(x) if back else BUCKETS, x.shape[1]), np.float32)
-    for at, rows in parts.collect():
-        found = np.frombuffer(rows, np.float32).reshape(-1, x.shape[1])
-        out[at : at + len(found)] = found
+    kind = np.float32 if back else np.float16
+    out = np.zeros((len(x) if back else BUCKETS, x.shape[1]), kind)
+    for batch in parts.toArrow().to_batches():
+        for at, rows in zip(batch.column("at").to_pylist(), batch.column("rows"), strict=True):
+            found = np.frombuffer(rows.as_buffer(), kind).reshape(-1, x.shape[1])
+            out[at : at + len(found)] = found
     held.unpersist()
     return out
 
