@@ -97,3 +97,19 @@ def test_components(spark):
 def test_empty_table(spark):
     df = frame(spark, [])
     assert minhash.near_duplicates(df).collect() == [] and minhash.drop_near_duplicates(df).collect() == []
+
+
+CLASHES = ["id", "t", "row", "root", "first", "stays", "twice", "gone_", "id_", "t_", "n", "value", "rank", "d.x"]
+
+
+def test_clashing_columns_and_null_ids(spark):
+    rows = [(7, "a b c d e"), ((1 << 63) - 1, "p q r s t"), (None, "p q r s t"), (None, "u v w x y"), (None, "u v w x y"), (8, "a b c d e")]
+    schema = "doc_id long, text string" + "".join(f", `{c}` long" for c in CLASHES)
+    df = spark.createDataFrame([(i, t, *range(len(CLASHES))) for i, t in rows], schema)
+    got = minhash.drop_near_duplicates(df)
+    assert got.columns == df.columns
+    got = got.collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(7, "a b c d e"), ((1 << 63) - 1, "p q r s t"), (None, "u v w x y")], key=str)
+    assert all(list(r)[2:] == list(range(len(CLASHES))) for r in got)
+    groups = {tuple(r.doc_ids) for r in minhash.near_duplicates(df).collect()}
+    assert groups == {(7, 8), ((1 << 63) - 1, None)}

@@ -87,6 +87,7 @@ def test_latent_space_and_projection_against_numpy(spark, rank):
     labels = spark.createDataFrame([(i, int(i % 4 > 0), int(i % 4 == 1)) for i in range(60)], LABELS)
     model = quality.fit(docs, labels, rank=rank)
     a = dense(texts, model.weight)
+    model = model._replace(axes=model.axes.astype(float))
     unit = a / np.linalg.norm(a, axis=1, keepdims=True)
     _, values, axes = np.linalg.svd(unit, full_matrices=False)
     assert np.allclose(model.axes.T @ model.axes, np.eye(rank), atol=1e-3)
