@@ -186,3 +186,12 @@ def initiative_types(spark: SparkSession) -> DataFrame:
 def footprint_rules(spark: SparkSession, rules=None) -> DataFrame:
     rows = [(rule, weight, status, title) for rule, weight, status, titles in (FOOTPRINT_RULES if rules is None else rules) for title in titles]
     return spark.createDataFrame(rows, "rule string, weight double, needs string, type string")
+
+#: Entities that pages of the sources hold; the ampersand comes last, so that nothing is replaced twice.
+ENTITIES = {
+    "nbsp": "\xa0", "lt": "<", "gt": ">", "quot": '"', "#39": "'", "apos": "'", "middot": "·", "copy": "©", "laquo": "«", "raquo": "»", "ordm": "º", "ordf": "ª", "euro": "€", "hellip": "…", "ndash": "–", "mdash": "—",
+    "iexcl": "¡", "iquest": "¿", "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú", "uuml": "ü", "ntilde": "ñ", "ccedil": "ç", "Aacute": "Á", "Eacute": "É", "Iacute": "Í", "Oacute": "Ó", "Uacute": "Ú", "Ntilde": "Ñ", "amp": "&",
+}
+
+#: Types whose authors are named in their content.
+AUTHORS_IN_CONTENT = ["Proposición no de Ley ante el Pleno", "Proposición no de Ley en Comisión", "Proposición de ley de Grupos Parlamentarios del Congreso", "Proposición de ley de Diputados"]

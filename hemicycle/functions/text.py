@@ -15,6 +15,23 @@ def strip_tags(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, TAG, ""))
 
 
+def plain_text(x: Column) -> Column:
+    """Text of serialised content: runs of four and three line breaks become a new line and single ones a space, runs of
+    spaces are shortened, tags go and the entities of XML and of Latin letters are replaced, & last."""
+    x = F.regexp_replace(x, r"(?:<br>){3,4}", "\n")
+    for old in ("<br>", "    ", "   ", "  "):
+        x = F.replace(x, F.lit(old), F.lit(" "))
+    x = F.regexp_replace(x, TAG, "")
+    for name, char in dims.ENTITIES.items():
+        x = F.replace(x, F.lit(f"&{name};"), F.lit(char))
+    return x
+
+
+def age(birth: Column, as_of: Column) -> Column:
+    """Full years."""
+    return F.floor(F.months_between(as_of, birth) / 12).cast("int")
+
+
 def squeeze(x: Column) -> Column:
     """White space runs become one space."""
     return F.trim(F.regexp_replace(x, r"\s+", " "))

@@ -32,9 +32,10 @@ def composition(groups: DataFrame, deputies: DataFrame) -> DataFrame:
     return groups.select(F.col("name").alias("grp"), F.col("shortname").alias("parliamentarygroup")).join(active, "parliamentarygroup").groupBy("grp", "party").agg(F.count("*").alias("members"))
 
 
-def place_from_history(history: Column, places: list[str]) -> Column:
-    """The first place, in the order of the dimension, that any history item contains."""
-    return F.get(F.filter(F.array(*map(F.lit, places)), lambda p: F.exists(history, lambda h: h.contains(p))), 0)
+def place_from_history(history: Column, places: list[str] | Column) -> Column:
+    """The first place, in the order of the dimension (a list, or an array column), that any history item contains."""
+    known = places if isinstance(places, Column) else F.array(*map(F.lit, places))
+    return F.get(F.filter(known, lambda p: F.exists(history, lambda h: h.contains(p))), 0)
 
 
 def signed_by(lines: DataFrame, deputies: DataFrame) -> DataFrame:

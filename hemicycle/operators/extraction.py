@@ -253,14 +253,32 @@ def speeches(raw: DataFrame) -> DataFrame:
 _PROJECT = "idProyecto bigint, expedienteCamara string, acapite string, tipoProyecto string, descripcionEtapa string, descripcionSubEtapa string, estadoProyecto string, origenProyecto string, appURL string, fechaIngresoExpediente string, iniciativa string"
 
 
-def projects(raw: DataFrame, limit: str = "2000-01-01") -> DataFrame:
-    """Project payloads (json) of the second source to initiatives; those older than ``limit`` are left out."""
+def projects(raw: DataFrame, stored: DataFrame | None = None, limit: str = "2000-01-01") -> DataFrame:
+    """Project payloads (json) of the second source to initiatives. Those whose stored row (id, updated) was updated
+    before ``limit`` are left out; new ones, and stored ones without a date, are not."""
     p = raw.select(F.from_json("json", _PROJECT).alias("p")).select("p.*")
+    entered = tx.parse_date(F.col("fechaIngresoExpediente"))
     rows = p.select(
-        F.col("idProyecto").cast("string").alias("id"), F.col("expedienteCamara").alias("reference"), F.col("acapite").alias("title"), F.col("tipoProyecto").alias("type"), F.concat_ws(". ", "descripcionEtapa", "descripcionSubEtapa").alias("place"),
-        F.col("estadoProyecto").alias("status"), F.col("appURL").alias("url"), tx.parse_date(F.col("fechaIngresoExpediente")).alias("created"), F.col("iniciativa").alias("proponente"),
+        F.col("idProyecto").cast("string").alias("id"), F.col("expedienteCamara").alias("reference"), F.col("acapite").alias("title"), F.col("tipoProyecto").alias("type"), F.col("origenProyecto").alias("place"),
+        F.array(F.concat(F.coalesce("descripcionEtapa", F.lit("")), F.lit(" ("), F.coalesce("descripcionSubEtapa", F.lit("")), F.lit(")"))).alias("history"),
+        F.col("estadoProyecto").alias("status"), F.col("appURL").alias("url"), entered.alias("created"), entered.alias("updated"), F.col("iniciativa").alias("proponente"),
     )
-    return rows.filter(F.col("created").isNull() | (F.col("created") >= F.lit(limit).cast("timestamp_ntz"))).filter("id is not null")
+    rows = rows.filter("id is not null")
+    if stored is None:
+        return rows
+    old = stored.filter(F.col("updated") < F.lit(limit).cast("timestamp_ntz")).select("id")
+    return rows.join(old, "id", "left_anti")
+
+
+def content_due(content, stored_bulletins=None, bulletins=None):
+    """Whether content is to be read: there is none, or the number of bulletins changed, where a strategy counts them."""
+    empty = F.coalesce(F.size(content), F.lit(0)) <= 0
+    return empty if bulletins is None else empty | ~stored_bulletins.eqNullSafe(bulletins)
+
+
+def authors_in_content(title):
+    """Types whose authors are named in the content."""
+    return F.coalesce(title.isin(*dims.AUTHORS_IN_CONTENT), F.lit(False))
 
 
 def attachments_due(attachments: DataFrame, state: DataFrame) -> DataFrame:

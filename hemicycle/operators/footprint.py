@@ -22,13 +22,13 @@ def valid(status):
     return F.coalesce(~status.isin(*dims.EXCLUDED_STATUS), F.lit(True))
 
 
-def weights(initiatives: DataFrame, rules=None) -> DataFrame:
-    """(id, weight) of the initiatives that meet a rule. The rules are few and become one expression."""
+def weight(rules=None):
+    """The sum of the rules that an initiative meets. The rules are few and become one expression of its row."""
     total = F.lit(0.0)
-    for _, weight, status, titles in dims.FOOTPRINT_RULES if rules is None else rules:
+    for _, points, status, titles in dims.FOOTPRINT_RULES if rules is None else rules:
         meets = F.col("type").isin(*titles) & (valid(F.col("status")) if status is None else F.coalesce(F.col("status") == status, F.lit(False)))
-        total = total + F.when(meets, weight).otherwise(0.0)
-    return initiatives.select("id", total.alias("weight")).filter("weight > 0")
+        total = total + F.when(meets, points).otherwise(0.0)
+    return total
 
 
 def rule_counts(initiatives: DataFrame, authors: DataFrame, rules=None) -> DataFrame:
@@ -83,22 +83,22 @@ def _final(points: DataFrame, entities: DataFrame, topics: DataFrame | None, as_
 
 
 def by_topic(initiatives: DataFrame, authors: DataFrame, alignment: DataFrame, entities: DataFrame, topics: DataFrame, as_of: str, rules=None) -> DataFrame:
-    """(kind, name, topic, raw, score) for every entity and topic. Weights and alignments meet on id, then
-    authors; sums and last dates come from one aggregation."""
+    """(kind, name, topic, raw, score) for every entity and topic. Weighted initiatives and alignments meet on
+    id, then authors; sums and last dates come from one aggregation."""
     shares = alignment.groupBy("id", "topic").agg(F.sum(F.col("percentage").cast("decimal(9,2)")).alias("pct"))
     signed = authors.withColumn("n", F.when(F.col("kind") == "deputy", F.count("*").over(Window.partitionBy("id", "kind"))).otherwise(1))
-    alive = initiatives.filter(valid(F.col("status"))).select("id", "created")
-    facts = alive.join(weights(initiatives, rules), "id", "left").join(shares, "id").join(signed, "id")
-    value = term(F.col("pct").cast("double") / 100 / F.col("n") * F.coalesce("weight", F.lit(0.0)))
+    alive = initiatives.filter(valid(F.col("status"))).select("id", "created", weight(rules).alias("weight"))
+    facts = alive.join(shares, "id").join(signed, "id")
+    value = term(F.col("pct").cast("double") / 100 / F.col("n") * F.col("weight"))
     points = facts.groupBy("kind", "name", "topic").agg(F.sum(value).alias("points"), F.max("created").alias("last"))
     return _final(points, entities, topics, as_of)
 
 
 def overall(initiatives: DataFrame, authors: DataFrame, entities: DataFrame, as_of: str, rules=None) -> DataFrame:
     """(kind, name, raw, score) without topics: no sharing, no alignment."""
-    alive = initiatives.filter(valid(F.col("status"))).select("id", "created")
-    facts = alive.join(weights(initiatives, rules), "id", "left").join(authors, "id")
-    points = facts.groupBy("kind", "name").agg(F.sum(term(F.coalesce("weight", F.lit(0.0)))).alias("points"), F.max("created").alias("last"))
+    alive = initiatives.filter(valid(F.col("status"))).select("id", "created", weight(rules).alias("weight"))
+    facts = alive.join(authors, "id")
+    points = facts.groupBy("kind", "name").agg(F.sum(term(F.col("weight"))).alias("points"), F.max("created").alias("last"))
     return _final(points, entities, None, as_of)
 
 

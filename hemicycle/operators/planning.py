@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 from hemicycle.functions.text import is_final, reference
 
 SAFETY_GAP = 3
+BLOCK = 100_000  # numbers that one row is expanded to at most
 
 
 def _range(frame: DataFrame, low, high) -> DataFrame:
-    return frame.select("code", low.alias("low"), high.alias("high")).filter("low <= high").select("code", F.explode(F.sequence("low", "high")).alias("number"))
+    """The numbers of each code's range. Starts of blocks are expanded first and spread over the tasks, so that neither
+    one row nor one task has to hold a whole type."""
+    step = F.lit(BLOCK).cast("long")
+    starts = frame.select("code", low.cast("long").alias("low"), high.cast("long").alias("high")).filter("low <= high").select("code", "high", F.explode(F.sequence("low", "high", step)).alias("at"))
+    return starts.repartition("code", "at").select("code", F.explode(F.sequence(F.col("at"), F.least(F.col("at") + step - 1, F.col("high")))).alias("number"))
 
 
 def _named(frame: DataFrame, reason: str) -> DataFrame:

@@ -103,6 +103,18 @@ def has_topics(tagged: Column) -> Column:
     return F.exists(tagged, lambda t: F.coalesce(F.size(t["topics"]), F.lit(-1)) != 0)
 
 
+def by_tag(tags: DataFrame, topic: str, name: str) -> DataFrame:
+    """(id) of what holds a tag of a topic."""
+    return tags.filter((F.col("topic") == topic) & (F.col("tag") == name)).select("id").distinct()
+
+
+def merge_absent(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Tags of ``old``, and those of ``new`` whose name the same id lacks; of new ones of one name, the least row."""
+    rest = [c for c in new.columns if c not in ("id", "tag")]
+    one = new.groupBy("id", "tag").agg(F.min(F.struct(*rest)).alias("r")).select("id", "tag", "r.*")
+    return old.unionByName(one.join(old.select("id", "tag"), ["id", "tag"], "left_anti"))
+
+
 def untagged(docs: DataFrame, nested: DataFrame, long: bool, long_chars: int = LONG_CHARS, kb: str | None = None) -> DataFrame:
     """Short or long documents without tags (in a knowledge base, if one is given)."""
     size = F.length("title") + F.length("body")

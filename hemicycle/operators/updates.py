@@ -10,8 +10,12 @@ from hemicycle.functions.text import initiative_id, is_final
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new``, and those of ``old`` whose key it lacks."""
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+    """One row a key of ``new``, and the rows of ``old`` whose key it lacks. Of rows of one key the greatest, by
+    the columns in their order, stays; a null key is a key like any other."""
+    rest = [c for c in new.columns if c != key]
+    one = new.groupBy(key).agg(F.max(F.struct(*rest)).alias("r")).select(key, "r.*") if rest else new.distinct()
+    keys = one.select(F.col(key).alias("key_"))
+    return old.join(keys, old[key].eqNullSafe(keys["key_"]), "left_anti").unionByName(one)
 
 
 def latest(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -21,6 +25,19 @@ def latest(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.groupBy(key).agg(last.alias("r")).select(key, "r.*")
 
 
+def untag_changed(nested: DataFrame, before: DataFrame, now: DataFrame) -> DataFrame:
+    """Tagged rows (id, tagged), emptied where the content (id, content) changed, appeared or went."""
+    both = before.select("id", F.col("content").alias("was")).join(now.select("id", "content"), "id", "full")
+    changed = both.filter(~F.col("was").eqNullSafe(F.col("content"))).select("id").distinct().withColumn("changed_", F.lit(True))
+    tagged = F.when(F.col("changed_"), F.slice("tagged", 1, 0)).otherwise(F.col("tagged"))
+    return nested.join(changed, "id", "left").withColumn("tagged", tagged).drop("changed_")
+
+
+def alert_for(initiatives: DataFrame, reference: str, reason: str) -> DataFrame:
+    """(id, reason): an alert for the initiatives of one reference."""
+    return initiatives.filter(F.col("reference") == reference).select("id", F.lit(reason).alias("reason"))
+
+
 def alerts(before: DataFrame, now: DataFrame) -> DataFrame:
     """(id, reason) by transition: new rows, content published, processing finished. Both: id, status, has_content."""
     both = now.join(before.select("id", F.col("status").alias("was"), F.col("has_content").alias("had"), F.lit(True).alias("known")), "id", "left")

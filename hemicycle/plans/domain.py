@@ -163,10 +163,11 @@ def _composition(s, d):
 
 
 def _place_history(s, d):
-    places = [r.n_name for r in b.table(s, d, "nation").orderBy("n_nationkey").collect()]  # a small dimension
+    ordered = F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))
+    places = b.table(s, d, "nation").agg(F.transform(ordered, lambda n: n["n_name"]).alias("places")).scalar()
     rows = b.table(s, d, "customer").join(b.table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     history = F.array(F.lit("Mesa del Congreso"), F.concat(F.lit("Comisión de "), F.when(F.col("c_custkey") % 7 != 0, F.col("n_name")), F.lit(" desde 1/1/2020")), F.concat(F.lit("Pleno NATION_"), (F.col("c_custkey") % 30).cast("string")))
-    return rows.select("c_custkey", au.place_from_history(F.array_compact(history), places).alias("place"))
+    return rows.select("c_custkey", F.array_compact(history).alias("history"), places.alias("places")).select("c_custkey", au.place_from_history(F.col("history"), F.col("places")).alias("place"))
 
 
 _PLACE_SQL = """WITH h AS (SELECT c_custkey, list_filter(['Mesa del Congreso', 'Comisión de ' || CASE WHEN c_custkey % 7 <> 0 THEN n_name END || ' desde 1/1/2020', 'Pleno NATION_' || (c_custkey % 30)], lambda x: x IS NOT NULL) AS history
@@ -180,7 +181,22 @@ def _signatures(s, d):
     return au.signed_by(lines, deputies)
 
 
-_HTML = "regexp_replace(html, '<[^>]+>', ' ', 'g')"
+_HTML = "trim(regexp_replace(html, '<[^>]+>', '', 'g'))"
+
+
+def _plain_sql():
+    x = "regexp_replace(html, '(<br>){3,4}', chr(10), 'g')"
+    for old in ("<br>", "    ", "   ", "  "):
+        x = f"replace({x}, '{old}', ' ')"
+    x = f"regexp_replace({x}, '<[^>]+>', '', 'g')"
+    for name, char in dims.ENTITIES.items():
+        x = f"replace({x}, '&{name};', '{char.replace(chr(39), chr(39) * 2)}')"
+    return f"SELECT page_id, {x} AS text FROM pages"
+
+
+def _merged(s, d):
+    have = tags(s, d)
+    return tg.merge_absent(have.filter("kb = 'kb1'"), have.filter("kb <> 'kb1'"))
 
 
 def _strings(s, d):
@@ -323,7 +339,11 @@ QUERIES = {
     "place_from_history": _place_history,
     "authors_from_signature": _signatures,
     "fuzzy_group_match": _fuzzy,
-    "html_strip_text": lambda s, d: b.table(s, d, "pages").select("page_id", F.regexp_replace("html", tx.TAG, " ").alias("text")),
+    "html_strip_text": lambda s, d: b.table(s, d, "pages").select("page_id", tx.strip_tags(F.col("html")).alias("text")),
+    "content_plain_text": lambda s, d: b.table(s, d, "pages").select("page_id", tx.plain_text(F.col("html")).alias("text")),
+    "age_from_date": lambda s, d: b.table(s, d, "orders").select("o_orderkey", tx.age(F.col("o_orderdate"), F.lit("2024-02-29").cast("date")).alias("age")),
+    "initiatives_by_tag": lambda s, d: tg.by_tag(tags(s, d), "english", "thing"),
+    "tag_merge_absent": _merged,
     "html_title": lambda s, d: b.table(s, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")),
     "html_links": _links,
     "sentence_split": _sentences,
@@ -367,6 +387,10 @@ SQL = {
     "authors_from_signature": "SELECT DISTINCT c_custkey AS id, s_name AS name FROM customer, supplier WHERE s_suppkey IN (c_custkey % 150, (c_custkey * 7) % 150)",
     "fuzzy_group_match": _FUZZY_SQL,
     "html_strip_text": f"SELECT page_id, {_HTML} AS text FROM pages",
+    "content_plain_text": _plain_sql(),
+    "age_from_date": "SELECT o_orderkey, CAST(date_sub('year', CAST(o_orderdate AS DATE), DATE '2024-02-29') AS INT) AS age FROM orders",
+    "initiatives_by_tag": f"{TAGS} SELECT DISTINCT id FROM tags WHERE topic = 'english' AND tag = 'thing'",
+    "tag_merge_absent": f"{TAGS}, o AS (SELECT * FROM tags WHERE kb = 'kb1'), n AS (SELECT *, row_number() OVER (PARTITION BY id, tag ORDER BY kb, topic, subtopic, times) AS rn FROM tags WHERE kb <> 'kb1') SELECT {_ALL} FROM o UNION ALL SELECT {_ALL} FROM n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM o WHERE o.id = n.id AND o.tag = n.tag)",
     "html_title": "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages",
     "html_links": "SELECT page_id, CAST(unnest(range(len(h))) AS INT) AS pos, unnest(h) AS href FROM (SELECT page_id, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS h FROM pages)",
     "sentence_split": "SELECT doc_id, CAST(unnest(range(len(p))) AS INT) AS pos, replace(unnest(p), chr(1), '.') AS sentence FROM (SELECT doc_id, list_filter(string_split(regexp_replace(text, '\\.([0-9])', chr(1) || '\\1', 'g'), '.'), lambda x: x <> '') AS p FROM documents)",

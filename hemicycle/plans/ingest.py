@@ -36,12 +36,12 @@ def _parsed_pages(s, d):
 
 
 def _speeches(s, d):
-    events = b.table(s, d, "events").filter("event_type = 'view'")
+    events = b.table(s, d, "events")
     json = F.concat(F.lit('{"a": {"video_intervencion": {"enlace_descarga02": "http://v/'), F.col("event_id"), F.lit('"}, "fecha": '), F.col("user_id"), F.lit(', "sesion": {"nombre_sesion": "Pleno"}, "tipo_intervencion": "x"'), F.when(F.col("event_id") % 2 == 0, ', "orador": "Ana"').otherwise(""), F.lit("}}"))
     return ex.speeches(events.select(F.col("event_id").cast("string").alias("reference"), json.alias("json")))
 
 
-_SPEECHES_SQL = """WITH e AS (SELECT *, CAST(event_id AS VARCHAR) AS reference, 'http://v/' || event_id AS link, CASE WHEN event_id % 2 = 0 THEN 'Ana' END AS speaker FROM events WHERE event_type = 'view')
+_SPEECHES_SQL = """WITH e AS (SELECT *, CAST(event_id AS VARCHAR) AS reference, 'http://v/' || event_id AS link, CASE WHEN event_id % 2 = 0 THEN 'Ana' END AS speaker FROM events)
 SELECT sha1(reference || link || coalesce(speaker, '')) AS id, link, reference, 'Pleno' AS session_name, 'x' AS type, speaker, user_id AS date FROM e"""
 
 QUERIES = {"amendment_parse": _amendments, "html_tree_pages": _parsed_pages, "speeches_from_json": _speeches}

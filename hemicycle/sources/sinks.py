@@ -18,7 +18,8 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def save(df: DataFrame, path: str, key: str) -> None:
-    """Upsert by key: the merged table is written beside the old one and swapped in, so a reader sees one or the other."""
+    """Upsert by key: the merged table is written beside the old one and swapped in by two renames. Between
+    them no table exists, which a reader has to retry; if the second fails, the old table is put back."""
     spark = df.sparkSession
     jvm = spark._jvm.org.apache.hadoop.fs
     target = jvm.Path(path)
@@ -28,6 +29,9 @@ def save(df: DataFrame, path: str, key: str) -> None:
         return
     draft, old = (f"{path}.{uuid.uuid4().hex}.{kind}" for kind in ("new", "old"))
     upsert(spark.read.parquet(path), df, key).write.parquet(draft)
-    system.rename(target, jvm.Path(old))
-    system.rename(jvm.Path(draft), target)
+    if not system.rename(target, jvm.Path(old)):
+        raise OSError(f"{path} could not be moved")
+    if not system.rename(jvm.Path(draft), target):
+        system.rename(jvm.Path(old), target)
+        raise OSError(f"{draft} could not be moved to {path}")
     system.delete(jvm.Path(old), True)

@@ -155,6 +155,9 @@ def test_votes_speeches_projects(spark):
     assert rows(updates.selected_votes(blocks), "pos") == [(0,)]
     raw = spark.createDataFrame([('{"idProyecto": 7, "acapite": "t", "estadoProyecto": "x", "fechaIngresoExpediente": "05/06/2020"}',), ("bad",)], "json string")
     assert rows(ex.projects(raw), "id", "title", "created") == [("7", "t", day("2020-06-05"))]
+    saved = spark.createDataFrame([("7", day("1999-12-31")), ("8", None)], "id string, updated timestamp_ntz")
+    other = spark.createDataFrame([('{"idProyecto": 8, "descripcionEtapa": "a", "descripcionSubEtapa": "b", "origenProyecto": "o"}',), ('{"idProyecto": 9, "fechaIngresoExpediente": "01/01/1990"}',)], "json string")
+    assert rows(ex.projects(raw.unionByName(other), saved), "id", "place", "history") == [("8", "o", ["a (b)"]), ("9", None, [" ()"])]
     files_ = spark.createDataFrame([("7", "INICIATIVA", "a"), ("7", "INICIATIVA", "b"), ("7", "LEY", "c"), ("8", "INICIATIVA", "d")], "id string, phase string, file string")
     state = spark.createDataFrame([("7", "INICIATIVA", 2), ("8", "INICIATIVA", 0)], "id string, phase string, counter int")
     assert rows(ex.attachments_due(files_, state), "file") == [("c",), ("d",)]
@@ -174,6 +177,41 @@ def test_sources_and_sinks(spark, tmp_path):
     assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "c"), (3, "d")]
 
 
+def test_upsert_has_one_row_a_key(spark):
+    old, new = (spark.createDataFrame(r, "k int, v string") for r in ([(1, "a"), (2, "b"), (None, "n")], [(2, "c"), (2, "d"), (None, "x"), (None, "y")]))
+    assert rows(updates.upsert(old, new, "k"), "k", "v") == [(1, "a"), (2, "d"), (None, "y")]
+    assert rows(updates.upsert(old, new.limit(0), "k"), "k", "v") == rows(old, "k", "v")
+
+
+def test_content_changes(spark):
+    tagged = spark.createDataFrame([(i, ["t"]) for i in (1, 2, 3, 4)], "id int, tagged array<string>")
+    was, now = (spark.createDataFrame(r, "id int, content array<string>") for r in ([(1, ["a"]), (2, ["a"]), (3, None)], [(1, ["a"]), (2, ["b"]), (3, ["c"]), (4, ["d"])]))
+    assert rows(updates.untag_changed(tagged, was, now), "id", "tagged") == [(1, ["t"]), (2, []), (3, []), (4, [])]
+    due = spark.createDataFrame([(1, None, 1, 1), (2, ["x"], 1, 1), (3, ["x"], 1, 2), (4, [], 1, 1)], "id int, content array<string>, was int, now int")
+    assert rows(due.select("id", ex.content_due(F.col("content")).alias("a"), ex.content_due(F.col("content"), F.col("was"), F.col("now")).alias("b")), "id", "a", "b") == [(1, True, True), (2, False, False), (3, False, True), (4, True, True)]
+    kinds = spark.createDataFrame([("Proposición de ley de Diputados",), ("Proyecto de ley",), (None,)], "t string").select(ex.authors_in_content(F.col("t")).alias("a"))
+    assert rows(kinds, "a") == [(False,), (False,), (True,)]
+    refs = spark.createDataFrame([(1, "121/000001"), (2, "121/000002")], "id int, reference string")
+    assert rows(updates.alert_for(refs, "121/000002", "new"), "id", "reason") == [(2, "new")]
+
+
+def test_plain_text_ages_and_merging(spark):
+    get = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert get(tx.plain_text(F.lit("<p>a<br><br><br>b<br>c    d &aacute;&amp;lt;</p>"))) == "a\nb c d á&lt;"
+    assert get(tx.plain_text(F.lit("a<br><br><br><br>b<br><br>c"))) == "a\nb c"
+    assert [get(tx.age(F.lit(x).cast("date"), F.lit("2024-05-10").cast("date"))) for x in ("2000-05-10", "2000-05-11", "1980-01-01")] == [24, 23, 44]
+    old, new = (spark.createDataFrame(r, TAGS) for r in ([("1", "k", "A", "s", "t", 1)], [("1", "k", "B", "s", "t", 5), ("1", "k", "B", "s", "u", 2), ("1", "k", "A", "s", "u", 3), ("2", "k", "A", "s", "t", 4)]))
+    merged = tagging.merge_absent(old, new)
+    assert rows(merged, "id", "topic", "tag", "times") == [("1", "A", "t", 1), ("1", "A", "u", 3), ("2", "A", "t", 4)]
+    assert rows(tagging.by_tag(merged, "A", "t"), "id") == [("1",), ("2",)]
+
+
+def test_ranges_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pl, "BLOCK", 3)
+    stored = spark.createDataFrame([("121", i, "Aprobada") for i in (1, 2, 11)], "code string, number long, status string")
+    assert sorted(r[0] for r in rows(pl.gaps(stored), "number")) == list(range(3, 11))
+
+
 def test_stream_equals_batch(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("ts", "event_type")
     events.repartition(3).write.parquet(str(tmp_path / "in"))
