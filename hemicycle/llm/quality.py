@@ -185,12 +185,20 @@ def _sample_terms(held) -> Callable:
     return run
 
 
-def _block(table: pa.Table, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, value) of one part of the buckets, values divided by their rows' norms."""
+_PACKED = "part int, n int, row binary, term binary, val binary"
+_MATRIX = "at int, rows binary"
+
+
+def _packed(table: pa.Table) -> pa.Table:
+    """One part of the buckets as one row, which no reader splits: rows (by rank of their ids, which every part has
+    all of), terms and values divided by their rows' norms."""
+    table = table.sort_by("id_")
     terms, vals = table.column("terms").combine_chunks(), table.column("vals").combine_chunks()
-    row = np.repeat(np.searchsorted(ids, table.column("id_").to_numpy()), np.diff(terms.offsets.to_numpy()))
-    norm = np.repeat(table.column("norm").to_numpy(), np.diff(terms.offsets.to_numpy()))
-    return row, terms.flatten().to_numpy(), (vals.flatten().to_numpy() / np.maximum(norm, 1e-9)).astype(np.float32)
+    size = np.diff(terms.offsets.to_numpy())
+    row = np.repeat(np.arange(table.num_rows, dtype=np.int32), size)
+    val = (vals.flatten().to_numpy() / np.maximum(np.repeat(table.column("norm").to_numpy(), size), 1e-9)).astype(np.float32)
+    held = [pa.array([x.tobytes()], pa.binary()) for x in (row, terms.flatten().to_numpy().astype(np.int32), val)]
+    return pa.table([table.column("part").slice(0, 1), pa.array([table.num_rows], pa.int32()), *held], ["part", "n", "row", "term", "val"])
 
 
 def _sums(key: np.ndarray, size: int, index: np.ndarray, value: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -205,22 +213,28 @@ def _sums(key: np.ndarray, size: int, index: np.ndarray, value: np.ndarray, tabl
     return out
 
 
-_MATRIX = "at int, rows binary"
-
-
 def _product(held, back: bool) -> Callable:
-    """Of each part of the buckets (its columns B of the sample): B'X, or with ``back`` B(B'X)."""
-
-    def run(table: pa.Table) -> pa.Table:
-        ids, x = held.value
-        row, term, value = _block(table, ids)
-        base = int(table.column("part")[0].as_py()) * (BUCKETS // _PARTS)
-        out = _sums(term - base, BUCKETS // _PARTS, row, value, x)
-        if back:
-            out, base = _sums(row, len(x), term - base, value, out), 0
-        out = out if back else out.astype(np.float16)
+    """Of each part of the buckets (its columns B of the sample): B'X, or with ``back`` the task's sum of B(B'X)."""
+
+    def cut(out: np.ndarray, base: int) -> pa.RecordBatch:
         at = list(range(0, len(out), _ROWS))
-        return pa.table({"at": pa.array([base + a for a in at], pa.int32()), "rows": pa.array([out[a : a + _ROWS].tobytes() for a in at], pa.binary())})
+        return pa.RecordBatch.from_arrays([pa.array([base + a for a in at], pa.int32()), pa.array([out[a : a + _ROWS].tobytes() for a in at], pa.binary())], ["at", "rows"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = held.value
+        total = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row, term, value = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in (("row", np.int32), ("term", np.int32), ("val", np.float32)))
+                base = batch.column("part")[i].as_py() * (BUCKETS // _PARTS)
+                out = _sums(term - base, BUCKETS // _PARTS, row, value, x)
+                if back:
+                    out = _sums(row, len(x), term - base, value, out)
+                    total = out if total is None else total + out
+                else:
+                    yield cut(out.astype(np.float16), base)
+        if total is not None:
+            yield cut(total, 0)
 
     return run
 
@@ -230,9 +244,9 @@ def _added(table: pa.Table) -> pa.Table:
     return pa.table({"at": table.column("at").slice(0, 1), "rows": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
-def _multiply(sample: DataFrame, ids: np.ndarray, x: np.ndarray, back: bool) -> np.ndarray:
-    held = sample.sparkSession.sparkContext.broadcast((ids, x.astype(np.float32)))
-    parts = sample.groupBy("part").applyInArrow(_product(held, back), _MATRIX)
+def _multiply(packed: DataFrame, x: np.ndarray, back: bool) -> np.ndarray:
+    held = packed.sparkSession.sparkContext.broadcast(x.astype(np.float32))
+    parts = packed.mapInArrow(_product(held, back), _MATRIX)
     if back:
         parts = parts.groupBy("at").applyInArrow(_added, _MATRIX)
     kind = np.float32 if back else np.float16
@@ -247,18 +261,20 @@ def _multiply(sample: DataFrame, ids: np.ndarray, x: np.ndarray, back: bool) ->
 
 def latent_space(sample: DataFrame, ids: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
     """The axes, and the unit sample's coordinates, by randomised subspace iteration with AA' (A: unit rows)
-    and a Rayleigh-Ritz step. ``sample`` has (part, id_, norm, terms, vals); ``ids`` are its sorted ids."""
+    and a Rayleigh-Ritz step. ``sample`` has (part, id_, norm, terms, vals); ``ids`` are its sorted ids.
+    The sample is shuffled once; each step then reads it and shuffles one matrix of rows by rank a task."""
     n = len(ids)
+    packed = materialize(sample.groupBy("part").applyInArrow(_packed, _PACKED), "packed")
     width = min(n, rank + 8)
     x = np.random.Generator(np.random.PCG64(7)).standard_normal((n, width))
     for _ in range(_STEPS):
         q = np.linalg.qr(x)[0].astype(np.float32)
-        x = _multiply(sample, ids, q, True).astype(np.float64)
+        x = _multiply(packed, q, True).astype(np.float64)
     gram = q.T @ x
     squares, vectors = np.linalg.eigh((gram + gram.T) / 2)
     squares, vectors = squares[::-1][:rank], vectors[:, ::-1][:, :rank]
     turn = (vectors / np.sqrt(np.maximum(squares, 1e-9 * max(squares[0], 1e-9)))).astype(np.float32)
-    return _multiply(sample, ids, q @ turn, False), (x @ turn).astype(np.float32)
+    return _multiply(packed, q @ turn, False), (x @ turn).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rank: int = RANK) -> Model | None:
@@ -276,7 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ra
     each = F.min_by(F.struct("text", "bad", "toxic"), F.xxhash64("text")).alias("row")  # one text an id: the bound holds
     voters = rows.filter("bad is not null").groupBy("id_").agg(each).select("id_", "row.*")
     sample = voters.mapInArrow(_sample_terms(held), "part int, id_ long, bad double, toxic double, norm double, terms array<int>, vals array<float>")
-    sample = materialize(sample.repartition(_PARTS, "part"), "sample")
+    sample = materialize(sample, "sample")
     known = sample.filter("part = 0").select("id_", "bad", "toxic", "norm").orderBy("id_").toArrow()
     ids, norm = known.column("id_").to_numpy(), known.column("norm").to_numpy()
     y = np.stack([known.column(c).to_numpy() for c in ("bad", "toxic")], 1).astype(np.float32)
