@@ -4,10 +4,13 @@ A document's set is its shingles of three lower-cased words; the k least hashes
 Documents of equal sets become one node first, so that thousands of copies cost no pairs. Inverted
 lists of the retained values generate overlaps: in each sketch the values go from rare to frequent,
 and two sketches that share enough values for the threshold must share one of the first few, so lists
-of frequent values (passages that many documents hold) are never paired. The k least values of the
-union of two sketches estimate the similarity; pairs that may reach the threshold go on. Candidates
-that hang together are brought together, and the exact Jaccard index of their sets decides, an edge
-between documents that are already joined being skipped, as it can't change the groups.
+of frequent values (passages that many documents hold) are never paired. First each document is held
+against one hub, the most copied text of the lists that it is in; those whose exact Jaccard index reaches
+the threshold are one class, so that near copies of one text cost a row each, not a pair for each two.
+Then the lists that still hold several classes pair the documents of different classes, list by list in
+blocks of bounded size. The k least values of the union of two sketches estimate the similarity; pairs
+that may reach the threshold go on. Classes that hang together are brought together, and the exact Jaccard
+index of the documents' sets decides; a pair within one class is skipped, as it can't change the groups.
 
 Defined results: null texts and texts without words belong to no group; a text of one or two words is
 one shingle; rows equal in doc_id and text are one document; null ids count and stay null; other
@@ -31,6 +34,7 @@ from hemicycle.session import materialize
 K = 64
 SHINGLE = 3
 THRESHOLD = 0.5
+BLOCK = 2048  # members of an inverted list that a task pairs at a time
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -74,27 +78,76 @@ def _sketching(k: int, n: int) -> Callable:
 def estimate(a: np.ndarray, b: np.ndarray, k: int) -> float:
     """Jaccard index from the k least values of the union of two sketches (sorted, distinct)."""
     both = np.sort(np.concatenate([a, b]))
-    twice = both[1:] == both[:-1]
-    new = np.concatenate([[True], ~twice])
-    rank = np.cumsum(new)
-    top = min(k, int(rank[-1]))
-    return float(np.count_nonzero(twice & (rank[1:] <= top))) / top
+    return float(_scores(both[None], k, np.array([len(both)]))[0])
 
 
-def _estimating(k: int, least: float) -> Callable:
+def _scores(both: np.ndarray, k: int, size: np.ndarray) -> np.ndarray:
+    """``estimate`` of many pairs: each row has the sorted values of both sketches in its first ``size`` places."""
+    twice = both[:, 1:] == both[:, :-1]
+    twice &= np.arange(1, both.shape[1]) < size[:, None]
+    seen = np.cumsum(twice, 1, dtype=np.int16)
+    rank = np.arange(2, both.shape[1] + 1, dtype=np.int16) - seen  # distinct values up to here
+    top = np.minimum(k, size - seen[:, -1])
+    return np.count_nonzero(twice & (rank <= top[:, None]), 1) / top
+
+
+def _pairing(k: int, threshold: float, least: float, most: int = 1 << 15) -> Callable:
+    """Rows sorted by (value, i, j), a block of an inverted list: pairs of documents of different classes whose
+    estimate reaches ``least``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            table = table.combine_chunks()
+            value, i, j, part, node, comp, n = (table.column(x).to_numpy() for x in ("value", "i", "j", "part", "node", "comp", "n"))
+            lists = table.column("sketch").combine_chunks()
+            size = np.diff(lists.offsets.to_numpy())
+            sketch = np.full((len(size), k), 0xFFFFFFFFFFFFFFFF, np.uint64)
+            sketch[np.arange(k) < size[:, None]] = lists.flatten().to_numpy().view(np.uint64)
+            ends = np.flatnonzero(np.concatenate([(value[1:] != value[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True]])) + 1
+            last = np.repeat(ends, np.diff(np.concatenate([[0], ends])))
+            many = last - np.arange(len(last)) - 1  # rows after this one in its block
+            upto = np.concatenate([[0], np.cumsum(many)])
+            at = 0
+            while at < len(many):
+                to = max(at + 1, int(np.searchsorted(upto, upto[at] + most, "right")) - 1)
+                x = np.repeat(np.arange(at, to), many[at:to])
+                y = x + 1 + np.arange(len(x)) - (upto[x] - upto[at])
+                at = to
+                ok = (comp[x] != comp[y]) & (n[x] >= threshold * n[y]) & (n[y] >= threshold * n[x]) & ((i[x] == j[x]) | (part[x] != part[y]))
+                x, y = x[ok], y[ok]
+                if not len(x):
+                    continue
+                both = np.sort(np.concatenate([sketch[x], sketch[y]], 1), 1)
+                score = _scores(both, k, size[x] + size[y])
+                ok = score >= least
+                x, y = x[ok], y[ok]
+                swap = node[x] > node[y]
+                x, y = np.where(swap, y, x), np.where(swap, x, y)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (node[x], node[y], comp[x], comp[y], score[ok]))], ["a", "b", "ca", "cb", "score"])
+
         for batch in batches:
-            left, right = batch.column("sa"), batch.column("sb")
-            la, lb = left.flatten().to_numpy().view(np.uint64), right.flatten().to_numpy().view(np.uint64)
-            oa, ob = left.offsets.to_numpy(), right.offsets.to_numpy()
-            oa, ob = oa - oa[0], ob - ob[0]
-            score = np.array([estimate(la[oa[i] : oa[i + 1]], lb[ob[i] : ob[i + 1]], k) for i in range(batch.num_rows)])
-            ok = pa.array(score >= least)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok), pa.array(score[score >= least])], ["a", "b", "score"])
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            keys = [table.column(x).to_numpy() for x in ("value", "i", "j")]
+            new = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in keys])) + 1
+            if len(new):
+                yield from flush(table.slice(0, int(new[-1])))
+                held = table.slice(int(new[-1])).combine_chunks().to_batches()
+        if held and sum(b.num_rows for b in held):
+            yield from flush(pa.Table.from_batches(held))
 
     return run
 
 
+def similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    """Whether the Jaccard index of two sorted sets reaches the threshold."""
+    both = np.sort(np.concatenate([x, y]))
+    common = np.count_nonzero(both[1:] == both[:-1])
+    return common >= threshold * (len(both) - common)
+
+
 def needed(size: int, k: int, threshold: float) -> int:
     """Values that two sketches share, but in one case of a thousand, where the sets reach the threshold."""
     if size <= threshold * k:
@@ -120,12 +173,31 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
         state = new
 
 
+def _starring(n: int, threshold: float) -> Callable:
+    """Rows sorted by hub, the hub's own first: the members whose sets are similar to the hub's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = of = None
+        for batch in batches:
+            hubs, nodes, found = batch.column("hub").to_pylist(), batch.column("node").to_pylist(), []
+            for a, b, data, offsets in text_rows(batch):
+                for i, x in zip(range(a, b), shingle_sets(data, offsets, n), strict=True):
+                    if nodes[i] == hubs[i]:
+                        hub, of = nodes[i], x
+                    elif hub == hubs[i] and similar(of, x, threshold):
+                        found.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column("hub").take(pa.array(found, pa.int64())), batch.column("node").take(pa.array(found, pa.int64()))], ["a", "b"])
+
+    return run
+
+
 def _verifying(n: int, threshold: float) -> Callable:
-    """Rows sorted by component: exact similarity along candidate edges, and groups by union-find."""
+    """Rows sorted by component, its documents first and then the candidate pairs, the likeliest first: exact
+    similarity along pairs of different groups, and groups of classes by union-find. A component's sets are
+    held, its pairs pass by."""
 
-    def groups(nodes: list[int], sets: list[np.ndarray], edges: list[tuple[float, int, int]]) -> list[int]:
-        at = {v: i for i, v in enumerate(nodes)}
-        root = list(range(len(nodes)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, sets, root = None, {}, {}
 
         def find(i: int) -> int:
             while root[i] != i:
@@ -133,79 +205,101 @@ def _verifying(n: int, threshold: float) -> Callable:
                 i = root[i]
             return i
 
-        for _, a, b in sorted(edges, reverse=True):
-            i, j = at[a], at[b]
-            p, q = find(i), find(j)
-            if p != q:
-                common = np.intersect1d(sets[i], sets[j], assume_unique=True).size
-                if common >= threshold * (len(sets[i]) + len(sets[j]) - common):
-                    root[max(p, q)] = min(p, q)
-        return [nodes[find(i)] for i in range(len(nodes))]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        comp, nodes, sets, edges = None, [], [], []
-
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(groups(nodes, sets, edges), pa.int64())], ["node", "root"])
+            return pa.RecordBatch.from_arrays([pa.array(list(root), pa.int64()), pa.array([find(c) for c in root], pa.int64())], ["comp", "root"])
 
         for batch in batches:
-            comps, ids, near = batch.column("comp").to_pylist(), batch.column("node").to_pylist(), batch.column("near").to_pylist()
+            tops, nodes, comps, others, others_comps = (batch.column(x).to_pylist() for x in ("top", "a", "ca", "b", "cb"))
             for a, b, data, offsets in text_rows(batch):
                 for i, x in zip(range(a, b), shingle_sets(data, offsets, n), strict=True):
-                    if comps[i] != comp:
-                        if nodes:
+                    if tops[i] != top:
+                        if root:
                             yield flush()
-                        comp, nodes, sets, edges = comps[i], [], [], []
-                    if not nodes or nodes[-1] != ids[i]:  # repeated rows give a node twice
-                        nodes.append(ids[i])
-                        sets.append(x)
-                        edges += [(e["score"], e["a"], ids[i]) for e in near[i] or ()]
-        if nodes:
+                        top, sets, root = tops[i], {}, {}
+                    if others[i] is None:
+                        sets[nodes[i]] = x
+                        root.setdefault(comps[i], comps[i])
+                        continue
+                    p, q = find(comps[i]), find(others_comps[i])
+                    if p != q and similar(sets[nodes[i]], sets[others[i]], threshold):
+                        root[max(p, q)] = min(p, q)
+        if root:
             yield flush()
 
     return run
 
 
-def similar_groups(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, shingle: int = SHINGLE) -> DataFrame:
+def _stars(prefix: DataFrame, nodes: DataFrame, keys: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """(a, b): each document and its hub, where they are similar. Of the lists that a document is in, each has its
+    most copied text as a hub; the hub that most of them have is the document's."""
+    hubs = prefix.groupBy("value").agg(F.max(F.struct("copies", "node", "n")).alias("hub"))
+    close = (F.col("n") >= threshold * F.col("hub.n")) & (F.col("hub.n") >= threshold * F.col("n"))
+    votes = prefix.join(hubs, "value").filter((F.col("node") != F.col("hub.node")) & close).groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("votes"))
+    best = materialize(votes.groupBy("node").agg(F.max(F.struct("votes", "hub"))["hub"].alias("hub")), "hubs")
+    asked = best.unionByName(best.select(F.col("hub").alias("node"), "hub").distinct())
+    return (
+        asked.join(nodes.select("node", "doc.id", "doc.t"), "node")
+        .join(keys, ["id", "t"])
+        .select("hub", "node", "text")
+        .repartition("hub")
+        .sortWithinPartitions("hub", F.col("node") != F.col("hub"))
+        .mapInArrow(_starring(shingle, threshold), "a long, b long")
+    )
+
+
+def similar_groups(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
     """(id, t, root): every document that has words, and its group's name."""
     keys = keyed(docs)
     sketches = materialize(keys.mapInArrow(_sketching(k, shingle), "id long, t long, node long, n long, sketch array<long>"), "sketches")
-    nodes = materialize(sketches.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("id", "t")).alias("doc")), "nodes")
+    nodes = materialize(sketches.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("id", "t")).alias("doc"), F.count("*").alias("copies")), "nodes")
     size = F.size("sketch")
     need = F.element_at(F.array(*(F.lit(needed(s, k, threshold)) for s in range(1, k + 1))), F.col("s"))
-    lists = nodes.select("node", "n", size.alias("s"), F.explode("sketch").alias("value"))
+    lists = nodes.select("node", "n", "copies", size.alias("s"), F.explode("sketch").alias("value"))
     shared = lists.withColumn("df", F.count("*").over(Window.partitionBy("value"))).filter("df > 1")
     of = Window.partitionBy("node")
     prefix = (
         shared.withColumn("rank", F.row_number().over(of.orderBy("df", "value")))
         .withColumn("common", F.count("*").over(of))
         .filter(F.col("s") - F.col("common") + F.col("rank") <= F.col("s") - need + 1)
-        .select("value", "node", "n")
+        .select("value", "node", "n", "copies")
     )
     prefix = materialize(prefix, "prefix")
-    a, b = prefix.alias("a"), prefix.alias("b")
-    close = (F.col("a.n") >= threshold * F.col("b.n")) & (F.col("b.n") >= threshold * F.col("a.n"))
-    pairs = (
-        a.join(b, (F.col("a.value") == F.col("b.value")) & (F.col("a.node") < F.col("b.node")) & close)
-        .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-        .distinct()
+    stars = components(_stars(prefix, nodes, keys, threshold, shingle), "stars")
+    stars = stars.unionByName(stars.select(F.col("comp").alias("node"), "comp").distinct())
+    classes = materialize(prefix.select("node").distinct().join(stars, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "classes")
+    # Lists of several classes, in blocks: a member of part p goes to the blocks of p and each part.
+    members = materialize(prefix.select("value", "node").join(classes, "node"), "members")
+    mixed = members.groupBy("value").agg(F.count("*").alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    parts = F.ceil(F.col("m") / block).cast("int")
+    part = F.pmod(F.xxhash64("node"), parts).cast("int")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = (
+        members.join(mixed, "value")
+        .select("value", "node", "comp", part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+        .join(nodes.select("node", "n", "sketch"), "node")
+        .select("value", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "comp", "n", "sketch")
+        .repartition(tasks, "value", "i", "j")
+        .sortWithinPartitions("value", "i", "j")
     )
     slack = 3.1 * math.sqrt(threshold * (1 - threshold) / k)
-    of_a, of_b = (nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    likely = materialize(pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb").mapInArrow(_estimating(k, threshold - slack), "a long, b long, score double"), "likely")
-    comps = components(likely)
-    comps = comps.unionByName(comps.select(F.col("comp").alias("node"), "comp").distinct())
-    near = likely.groupBy(F.col("b").alias("node")).agg(F.collect_list(F.struct("a", "score")).alias("near"))
+    pairs = blocks.mapInArrow(_pairing(k, threshold, threshold - slack), "a long, b long, ca long, cb long, score double")
+    likely = materialize(pairs.distinct(), "likely")
+    tops = components(likely.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "tops")
+    tops = materialize(tops.unionByName(tops.select(F.col("comp").alias("node"), "comp").distinct()).toDF("ca", "top"), "tops")
+    ends = likely.select("a", "ca").unionByName(likely.select(F.col("b").alias("a"), F.col("cb").alias("ca"))).distinct()
+    none = F.lit(None)
+    sets = ends.join(nodes.select(F.col("node").alias("a"), "doc.id", "doc.t"), "a").join(keys, ["id", "t"])
+    sets = sets.select("a", "ca", none.cast("long").alias("b"), none.cast("long").alias("cb"), F.lit(2.0).alias("score"), "text")
     found = (
-        comps.join(nodes.select("node", "doc.id", "doc.t"), "node")
-        .join(near, "node", "left")
-        .join(keys, ["id", "t"])
-        .select("comp", "node", "near", "text")
-        .repartition("comp")
-        .sortWithinPartitions("comp", "node")
-        .mapInArrow(_verifying(shingle, threshold), "node long, root long")
+        sets.unionByName(likely.select("a", "ca", "b", "cb", "score", none.cast("string").alias("text")))
+        .join(tops, "ca")
+        .repartition("top")
+        .sortWithinPartitions("top", F.desc("score"), "a", "b")
+        .select("top", "a", "ca", "b", "cb", "text")
+        .mapInArrow(_verifying(shingle, threshold), "comp long, root long")
     )
-    return sketches.select("id", "t", "node").join(found, "node", "left").select("id", "t", F.coalesce("root", "node").alias("root"))
+    roots = classes.join(found, "comp", "left").select("node", F.coalesce("root", "comp").alias("root"))
+    return sketches.select("id", "t", "node").join(roots, "node", "left").select("id", "t", F.coalesce("root", "node").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, shingle: int = SHINGLE) -> DataFrame:

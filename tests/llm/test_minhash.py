@@ -113,3 +113,29 @@ def test_clashing_columns_and_null_ids(spark):
     assert all(list(r)[2:] == list(range(len(CLASHES))) for r in got)
     groups = {tuple(r.doc_ids) for r in minhash.near_duplicates(df).collect()}
     assert groups == {(7, 8), ((1 << 63) - 1, None)}
+
+
+def test_near_copies_of_one_text_cost_no_pair_for_each_two(spark, monkeypatch):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    base, other = [word() for _ in range(200)], [word() for _ in range(200)]
+    vary = lambda w, p: " ".join(x if rng.random() > p else word() for x in w)
+    rows = [(i, " ".join(base)) for i in range(3)] + [(10 + i, vary(base, 0.03)) for i in range(150)]
+    mixed = [base[:80] + other[80:], base[:95] + other[95:], other]  # close to the base, at or below the threshold
+    rows += [(1000 + i, vary(mixed[i % 3], 0.02)) for i in range(30)]
+    kept, write = {}, minhash.materialize
+
+    def counted(df, name):
+        kept[name] = write(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(minhash, "materialize", counted)
+    groups = minhash.similar_groups(frame(spark, rows), block=16).distinct().collect()
+    found = defaultdict(list)
+    for r in groups:
+        found[r.root].append(r.id)
+    assert {tuple(sorted(g)) for g in found.values() if len(g) > 1} == brute(rows)
+    classes = {r.node: r.comp for r in kept["classes"].collect()}
+    pairs = kept["likely"].collect()
+    assert all(classes[r.a] != classes[r.b] for r in pairs)
+    assert len(pairs) < 150 * 149 / 2 / 2
