@@ -139,3 +139,27 @@ def test_near_copies_of_one_text_cost_no_pair_for_each_two(spark, monkeypatch):
     pairs = kept["likely"].collect()
     assert all(classes[r.a] != classes[r.b] for r in pairs)
     assert len(pairs) < 150 * 149 / 2 / 2
+
+
+def test_pairs_of_a_component_pass_by():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    def batch(a, b, texts):
+        n = len(a)
+        columns = {"top": [1] * n, "a": a, "ca": a, "b": b, "cb": b}
+        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in columns.values()), pa.array(texts, pa.string())], [*columns, "text"])
+
+    def batches():
+        yield batch([1, 2, 3], [None] * 3, ["a b c d e f", "a b c d e f g", "p q r s t u"])
+        for _ in range(30):
+            yield batch([1] * 10000, [3] * 10000, [None] * 10000)
+        yield batch([1], [2], [None])
+
+    tracemalloc.start()
+    out = [r for b in minhash._verifying(3, 0.5)(batches()) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {r["comp"]: r["root"] for r in out} == {1: 1, 2: 1, 3: 3}
+    assert peak < 20e6
