@@ -8,10 +8,9 @@ before, min_words after) is hashed; equal contexts (64 bits, below one anchor's
 only anchors with several classes need their text, which is fetched once a class. A resolver (suffix
 array or suffix tree) then finds the equal passages between classes, exactly.
 
-Groups: contexts are partitioned by a prefix of their suffixes, first the anchor's k words. Where more
-than ``group`` contexts have one prefix, their suffixes of ``min_words`` words are told apart by longer
-prefixes, group by group, until each fits; suffixes that agree on all ``min_words`` words are one class
-again, which is aggregated, whatever its size.
+Groups: contexts are partitioned by a prefix of their suffixes, the anchor's k words. Where more than
+``group`` contexts have one prefix, the prefix grows to all ``min_words`` words: suffixes that agree on them
+(64 bits, below one anchor's 64) are one class again, which is aggregated, whatever its size, without words.
 
 Cost at scale: anchors are about 2 / (w + 1) of the words. Anchors and classes are aggregated before they
 are shuffled and joined back, so that a passage in very many documents is split as any skewed join is; texts
@@ -133,9 +132,8 @@ def _words_of(blob: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(blob.buffers()[2] or b"", np.uint32), off
 
 
-def _suffixes(length: int, prefixes: tuple[int, ...]) -> Callable:
-    """Each suffix of a context, cut to ``length`` words, as a context of its own that starts with its anchor;
-    with hashes of its prefixes."""
+def _suffixes(length: int) -> Callable:
+    """Each suffix of a context, cut to ``length`` words: its place, its class's last one and its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,11 +145,8 @@ def _suffixes(length: int, prefixes: tuple[int, ...]) -> Callable:
             roll = Rolling(mix(words.astype(np.uint64) + np.uint64(1)), _Q)
             shift = (start - batch.column("a").to_numpy()[ctx]).astype(np.int32)
             columns = {n: batch.column(n).to_numpy()[ctx] for n in ("h", "id", "t", "pos", "lid", "lt", "lpos")}
-            columns |= {"pos": columns["pos"] + shift, "lpos": columns["lpos"] + shift, "a": np.zeros(len(ctx), np.int16)}
-            names = [f"p{k}" for k in range(len(prefixes))]
-            hashes = [pa.array(signed(roll.of(at, at + p))) for p in prefixes]
-            size = np.full(len(ctx), length, np.int64)
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns.values()), _binary(words[_spread(at, size)], size), *hashes], [*columns, "words", *names])
+            columns |= {"pos": columns["pos"] + shift, "lpos": columns["lpos"] + shift, "p": signed(roll.of(at, at + length))}
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns.values())], [*columns])
 
     return run
 
@@ -224,24 +219,14 @@ def _far(place: Column, other: Column, length: int) -> Column:
     return (place["id"] != other["id"]) | (place["t"] != other["t"]) | (F.abs(place["pos"] - other["pos"]) >= length)
 
 
-def _split(suffixes: DataFrame, prefixes: int, group: int, resolved: Callable, length: int) -> DataFrame:
-    """Spans (id, t, lo, hi, later) of the suffixes of hot prefixes: the prefix grows until its group fits."""
-    out, rest = None, suffixes
-    for k in range(prefixes - 1):
-        sizes = rest.groupBy("h", f"p{k}").agg(F.count("*").alias("_n"))
-        small = rest.join(sizes.filter(F.col("_n") <= group), ["h", f"p{k}"]).withColumn("h", F.col(f"p{k}"))
-        found = resolved(small.select("h", "id", "t", "pos", "lid", "lt", "lpos", "a", "words"))
-        out = found if out is None else out.unionByName(found)
-        rest = materialize(rest.join(sizes.filter(F.col("_n") > group).drop("_n"), ["h", f"p{k}"]), "suffixes")
-    name, first, last = f"p{prefixes - 1}", F.struct("id", "t", "pos"), F.struct(F.col("lid").alias("id"), F.col("lt").alias("t"), F.col("lpos").alias("pos"))
-    ends = rest.groupBy("h", name).agg(F.min(first).alias("first"), F.max(last).alias("last"))
-    each = rest.join(ends, ["h", name]).withColumn("own", first)
-    each = each.withColumn("later", _far(F.col("own"), F.col("first"), length))
-    span = F.col("pos").alias("lo"), (F.col("pos") + length).alias("hi")
-    later = each.filter("later").select("id", "t", *span, F.lit(True).alias("later"))
-    dup = each.filter(F.col("later") | _far(F.col("own"), F.col("last"), length)).select("id", "t", *span, F.lit(False).alias("later"))
-    whole = later.unionByName(dup)
-    return whole if out is None else whole.unionByName(out)
+def _equal(suffixes: DataFrame, length: int) -> DataFrame:
+    """Spans (id, t, lo, hi, later) of the suffixes that agree on all ``length`` words with one elsewhere."""
+    first, last = F.struct("id", "t", "pos"), F.struct(F.col("lid").alias("id"), F.col("lt").alias("t"), F.col("lpos").alias("pos"))
+    ends = suffixes.groupBy("h", "p").agg(F.min(first).alias("first"), F.max(last).alias("last")).filter(_far(F.col("first"), F.col("last"), length))
+    each = suffixes.select("h", "p", "id", "t", "pos").join(ends, ["h", "p"]).withColumn("own", first)
+    each = each.withColumn("later", _far(F.col("own"), F.col("first"), length)).filter(F.col("later") | _far(F.col("own"), F.col("last"), length))
+    kinds = F.when(F.col("later"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    return each.select("id", "t", F.col("pos").alias("lo"), (F.col("pos") + length).alias("hi"), F.explode(kinds).alias("later"))
 
 
 def repeated_words(docs: DataFrame, resolve: Callable, min_words: int, kgram: int = KGRAM, chunk: int = 8000, group: int = GROUP) -> DataFrame:
@@ -287,12 +272,9 @@ def repeated_words(docs: DataFrame, resolve: Callable, min_words: int, kgram: in
 
     if hot.isEmpty():
         return out.unionByName(resolved(contexts(part)))
-    step = max(1, (min_words - kgram) // 3)
-    prefixes = (kgram + step, kgram + 2 * step, min_words)
-    schema = f"h long, {_KEY}, a short, words binary, {', '.join(f'p{k} long' for k in range(len(prefixes)))}"
-    suffixes = materialize(contexts(part.join(hot, "h")).mapInArrow(_suffixes(min_words, prefixes), schema), "suffixes")
+    suffixes = materialize(contexts(part.join(hot, "h")).mapInArrow(_suffixes(min_words), f"h long, {_KEY}, p long"), "suffixes")
     out = out.unionByName(resolved(contexts(part.join(hot, "h", "left_anti"))))
-    return out.unionByName(_split(suffixes, len(prefixes), group, resolved, min_words))
+    return out.unionByName(_equal(suffixes, min_words))
 
 
 def merged(spans: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Suffixes that start at an anchor (see ``repeats``) are split by their first words, and each task builds the
 subtrees of its prefixes, about ``chunk`` contexts at a time. The prefix has the anchor's 24 words; where more
-contexts than ``group`` share it, it is lengthened (32, 40, and at last all 50 words asked for) for the suffixes
-of that group only, until each group fits in memory. In a group the suffixes are sorted, their common prefixes
+contexts than ``group`` share it, it is lengthened to all 50 words asked for, for the suffixes of that group only,
+and those that agree on them are aggregated by their hashes. In another group the suffixes are sorted, their common prefixes
 give the subtree's internal nodes, and the nodes at depth ``min_words - o`` whose leaves also agree on the ``o``
 words to the left are the repeats of at least ``min_words`` words; joined spans of neighbouring anchors are the
 maximal repeats.

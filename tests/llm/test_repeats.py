@@ -178,3 +178,18 @@ def test_one_copy_of_a_passage_within_a_document_stays(spark):
     got = {r.doc_id: r.text.split() for r in suffix_tree.remove_repeats(df).collect()}
     assert got[1] == f"start {once} middle end".split()
     assert got[2] == ["same"] * 50
+
+
+def test_hot_suffixes_are_told_apart_without_their_words(spark, monkeypatch):
+    from hemicycle.llm import repeats
+
+    kept, write = {}, repeats.materialize
+
+    def recorded(df, name):
+        kept[name] = df.columns
+        return write(df, name)
+
+    monkeypatch.setattr(repeats, "materialize", recorded)
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in corpus(3, 20)], SCHEMA)
+    repeats.repeated_words(df, suffix_tree.resolve, 50, group=1).count()
+    assert "p" in kept["suffixes"] and "words" not in kept["suffixes"]
