@@ -8,9 +8,11 @@ of frequent values (passages that many documents hold) are never paired. First e
 against one hub, the most copied text of the lists that it is in; those whose exact Jaccard index reaches
 the threshold are one class, so that near copies of one text cost a row each, not a pair for each two.
 Then the lists that still hold several classes pair the documents of different classes, list by list in
-blocks of bounded size. The k least values of the union of two sketches estimate the similarity; pairs
-that may reach the threshold go on. Classes that hang together are brought together, and the exact Jaccard
-index of the documents' sets decides; a pair within one class is skipped, as it can't change the groups.
+blocks of bounded size. Sets of at most k values are their own sketches, so their pairs are decided there,
+and a block returns as many edges as join its classes, not its pairs. Of other pairs the k least values of
+the union of two sketches estimate the similarity; those that may reach the threshold go on. Classes that
+hang together are brought together, and the exact Jaccard index of the documents' sets decides; a pair
+within one class is skipped, as it can't change the groups.
 
 Defined results: null texts and texts without words belong to no group; a text of one or two words is
 one shingle; rows equal in doc_id and text are one document; null ids count and stay null; other
@@ -81,7 +83,7 @@ def estimate(a: np.ndarray, b: np.ndarray, k: int) -> float:
     return float(_scores(both[None], k, np.array([len(both)]))[0])
 
 
-def _scores(both: np.ndarray, k: int, size: np.ndarray) -> np.ndarray:
+def _scores(both: np.ndarray, k: int | np.ndarray, size: np.ndarray) -> np.ndarray:
     """``estimate`` of many pairs: each row has the sorted values of both sketches in its first ``size`` places."""
     twice = both[:, 1:] == both[:, :-1]
     twice &= np.arange(1, both.shape[1]) < size[:, None]
@@ -91,9 +93,28 @@ def _scores(both: np.ndarray, k: int, size: np.ndarray) -> np.ndarray:
     return np.count_nonzero(twice & (rank <= top[:, None]), 1) / top
 
 
+def _joined(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Joins the groups of p and q in ``root``, which names each one's group; the edges that were needed."""
+    low, high = np.minimum(root[p], root[q]), np.maximum(root[p], root[q])
+    taken = []
+    for both in np.unique((low * len(root) + high)[low != high]).tolist():
+        x, y = divmod(both, len(root))
+        while root[x] != x:
+            x = int(root[x])
+        while root[y] != y:
+            y = int(root[y])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            taken.append((x, y))
+    while ((up := root[root]) != root).any():
+        root[:] = up
+    edges = np.array(taken, np.int64).reshape(-1, 2)
+    return edges[:, 0], edges[:, 1]
+
+
 def _pairing(k: int, threshold: float, least: float, most: int = 1 << 15) -> Callable:
-    """Rows sorted by (value, i, j), a block of an inverted list: pairs of documents of different classes whose
-    estimate reaches ``least``."""
+    """Rows sorted by (value, i, j), a block of an inverted list. Edges between classes (a and b are null) as pairs
+    of whole sketches decide them, and pairs of documents of different classes whose estimate reaches ``least``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -101,6 +122,8 @@ def _pairing(k: int, threshold: float, least: float, most: int = 1 << 15) -> Cal
         def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
             table = table.combine_chunks()
             value, i, j, part, node, comp, n = (table.column(x).to_numpy() for x in ("value", "i", "j", "part", "node", "comp", "n"))
+            names, group = np.unique(comp, return_inverse=True)
+            root = np.arange(len(names))
             lists = table.column("sketch").combine_chunks()
             size = np.diff(lists.offsets.to_numpy())
             sketch = np.full((len(size), k), 0xFFFFFFFFFFFFFFFF, np.uint64)
@@ -115,17 +138,24 @@ def _pairing(k: int, threshold: float, least: float, most: int = 1 << 15) -> Cal
                 x = np.repeat(np.arange(at, to), many[at:to])
                 y = x + 1 + np.arange(len(x)) - (upto[x] - upto[at])
                 at = to
-                ok = (comp[x] != comp[y]) & (n[x] >= threshold * n[y]) & (n[y] >= threshold * n[x]) & ((i[x] == j[x]) | (part[x] != part[y]))
+                ok = (root[group[x]] != root[group[y]]) & (n[x] >= threshold * n[y]) & (n[y] >= threshold * n[x]) & ((i[x] == j[x]) | (part[x] != part[y]))
                 x, y = x[ok], y[ok]
                 if not len(x):
                     continue
                 both = np.sort(np.concatenate([sketch[x], sketch[y]], 1), 1)
-                score = _scores(both, k, size[x] + size[y])
-                ok = score >= least
-                x, y = x[ok], y[ok]
+                sure = (n[x] <= k) & (n[y] <= k)
+                score = _scores(both, np.where(sure, 2 * k, k), size[x] + size[y])
+                ok = score >= np.where(sure, threshold, least)
+                x, y, sure, score = x[ok], y[ok], sure[ok], score[ok]
+                p, q = _joined(root, group[x[sure]], group[y[sure]])
+                if len(p):
+                    none = pa.nulls(len(p), pa.int64())
+                    yield pa.RecordBatch.from_arrays([none, none, *map(pa.array, (names[p], names[q], np.ones(len(p))))], ["a", "b", "ca", "cb", "score"])
+                ok = ~sure & (root[group[x]] != root[group[y]])
+                x, y, score = x[ok], y[ok], score[ok]
                 swap = node[x] > node[y]
                 x, y = np.where(swap, y, x), np.where(swap, x, y)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, (node[x], node[y], comp[x], comp[y], score[ok]))], ["a", "b", "ca", "cb", "score"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (node[x], node[y], comp[x], comp[y], score))], ["a", "b", "ca", "cb", "score"])
 
         for batch in batches:
             held.append(batch)
@@ -229,6 +259,12 @@ def _verifying(n: int, threshold: float) -> Callable:
     return run
 
 
+def _named(edges: DataFrame, name: str) -> DataFrame:
+    """``components``, with a row for each node that names a component too."""
+    found = components(edges, name)
+    return found.unionByName(found.select(F.col("comp").alias("node"), "comp").distinct())
+
+
 def _stars(prefix: DataFrame, nodes: DataFrame, keys: DataFrame, threshold: float, shingle: int) -> DataFrame:
     """(a, b): each document and its hub, where they are similar. Of the lists that a document is in, each has its
     most copied text as a hub; the hub that most of them have is the document's."""
@@ -264,8 +300,7 @@ def similar_groups(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, sh
         .select("value", "node", "n", "copies")
     )
     prefix = materialize(prefix, "prefix")
-    stars = components(_stars(prefix, nodes, keys, threshold, shingle), "stars")
-    stars = stars.unionByName(stars.select(F.col("comp").alias("node"), "comp").distinct())
+    stars = _named(_stars(prefix, nodes, keys, threshold, shingle), "stars")
     classes = materialize(prefix.select("node").distinct().join(stars, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "classes")
     # Lists of several classes, in blocks: a member of part p goes to the blocks of p and each part.
     members = materialize(prefix.select("value", "node").join(classes, "node"), "members")
@@ -283,9 +318,13 @@ def similar_groups(docs: DataFrame, threshold: float = THRESHOLD, k: int = K, sh
     )
     slack = 3.1 * math.sqrt(threshold * (1 - threshold) / k)
     pairs = blocks.mapInArrow(_pairing(k, threshold, threshold - slack), "a long, b long, ca long, cb long, score double")
-    likely = materialize(pairs.distinct(), "likely")
-    tops = components(likely.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "tops")
-    tops = materialize(tops.unionByName(tops.select(F.col("comp").alias("node"), "comp").distinct()).toDF("ca", "top"), "tops")
+    pairs = materialize(pairs.distinct(), "pairs")
+    sure = materialize(_named(pairs.filter("a is null").select(F.col("ca").alias("a"), F.col("cb").alias("b")), "sure"), "sure")
+    classes = materialize(classes.join(sure.toDF("comp", "to"), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "classes")
+    likely = pairs.filter("a is not null").join(sure.toDF("ca", "to_a"), "ca", "left").join(sure.toDF("cb", "to_b"), "cb", "left")
+    likely = likely.select("a", "b", F.coalesce("to_a", "ca").alias("ca"), F.coalesce("to_b", "cb").alias("cb"), "score")
+    likely = materialize(likely.filter("ca <> cb").distinct(), "likely")
+    tops = materialize(_named(likely.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "tops").toDF("ca", "top"), "tops")
     ends = likely.select("a", "ca").unionByName(likely.select(F.col("b").alias("a"), F.col("cb").alias("ca"))).distinct()
     none = F.lit(None)
     sets = ends.join(nodes.select(F.col("node").alias("a"), "doc.id", "doc.t"), "a").join(keys, ["id", "t"])

@@ -163,3 +163,25 @@ def test_pairs_of_a_component_pass_by():
     tracemalloc.stop()
     assert {r["comp"]: r["root"] for r in out} == {1: 1, 2: 1, 3: 3}
     assert peak < 20e6
+
+
+def test_short_texts_are_decided_by_their_sketches(spark, monkeypatch):
+    """Short texts of which any two share a line, half of them too little for the threshold."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    line = [word() for _ in range(20)]
+    rows = [(i, " ".join(line + [word() for _ in range(rng.choice([3, 5, 18, 25]))])) for i in range(120)]
+    kept, write = {}, minhash.materialize
+
+    def counted(df, name):
+        kept[name] = write(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(minhash, "materialize", counted)
+    monkeypatch.setattr(minhash, "_stars", lambda *a: spark.createDataFrame([], "a long, b long"))
+    groups = defaultdict(list)
+    for r in minhash.similar_groups(frame(spark, rows), block=16).distinct().collect():
+        groups[r.root].append(r.id)
+    assert {tuple(sorted(g)) for g in groups.values() if len(g) > 1} == brute(rows)
+    assert kept["likely"].count() == 0  # nothing is left to be verified
+    assert kept["pairs"].count() < 20 * 120  # by block, at most as many edges as members
