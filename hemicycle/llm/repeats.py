@@ -35,7 +35,7 @@ KGRAM = 24
 GROUP = 20_000  # contexts of one prefix that a task holds at a time
 _KEY = "id long, t long, pos int, lid long, lt long, lpos int"  # a place, and the last place of its class
 _OCC = "h long, c long, id long, t long, pos int, a short, b short"
-_CTX = f"h long, {_KEY}, a short, words binary"
+_CTX = f"h long, {_KEY}, a short, hot short, words binary"
 _RES = "id long, t long, pos int, dup_lo short, dup_hi short, later_lo short, later_hi short"
 
 
@@ -120,10 +120,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = want.slice(a, b - a)
             flat = part.flatten()
             row = np.repeat(np.arange(b - a), np.diff(part.offsets.to_numpy()))
-            h, pos, lid, lt, lpos, before, after = (flat.field(i).to_numpy() for i in range(7))
+            h, pos, lid, lt, lpos, before, after, hot = (flat.field(i).to_numpy() for i in range(8))
             lo, size = words.rows[row] + pos - before, before.astype(np.int64) + after
-            columns = h, ids[a:b][row], ts[a:b][row], pos, lid, lt, lpos, before
-            names = ["h", "id", "t", "pos", "lid", "lt", "lpos", "a", "words"]
+            columns = h, ids[a:b][row], ts[a:b][row], pos, lid, lt, lpos, before, hot
+            names = ["h", "id", "t", "pos", "lid", "lt", "lpos", "a", "hot", "words"]
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns), _binary(short[_spread(lo, size)], size)], names)
 
 
@@ -256,8 +256,8 @@ def repeated_words(docs: DataFrame, resolve: Callable, min_words: int, kgram: in
     out = out.unionByName(occ.filter("later").select("id", "t", *whole, F.lit(True).alias("later")))
     # For the first places of a class, the resolver says which passages other classes hold.
     part = occ.filter("last is not null")
-    hot = materialize(part.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("h"), "hot")
-    asked = F.struct("h", "pos", F.col("last.id"), F.col("last.t"), F.col("last.pos"), "a", "b")
+    hot = materialize(part.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("h", F.lit(1).cast("short").alias("hot")), "hot")
+    asked = F.struct("h", "pos", F.col("last.id"), F.col("last.t"), F.col("last.pos"), "a", "b", "hot")
 
     def contexts(places: DataFrame) -> DataFrame:
         want = places.groupBy("id", "t").agg(F.collect_set(asked).alias("want"))
@@ -271,10 +271,12 @@ def repeated_words(docs: DataFrame, resolve: Callable, min_words: int, kgram: in
         return found.select("id", "t", F.explode(F.array(*spans)).alias("s")).select("id", "t", "s.*").filter("hi > lo")
 
     if hot.isEmpty():
-        return out.unionByName(resolved(contexts(part)))
-    suffixes = materialize(contexts(part.join(hot, "h")).mapInArrow(_suffixes(min_words), f"h long, {_KEY}, p long"), "suffixes")
-    out = out.unionByName(resolved(contexts(part.join(hot, "h", "left_anti"))))
-    return out.unionByName(_equal(suffixes, min_words))
+        return out.unionByName(resolved(contexts(part.withColumn("hot", F.lit(0).cast("short")))))
+    # Texts are shuffled once, for the hot prefixes and the others.
+    places = part.join(hot, "h", "left").withColumn("hot", F.coalesce("hot", F.lit(0).cast("short")))
+    every = materialize(contexts(places), "contexts")
+    suffixes = materialize(every.filter("hot = 1").mapInArrow(_suffixes(min_words), f"h long, {_KEY}, p long"), "suffixes")
+    return out.unionByName(resolved(every.filter("hot = 0"))).unionByName(_equal(suffixes, min_words))
 
 
 def merged(spans: DataFrame) -> DataFrame:

@@ -193,3 +193,11 @@ def test_hot_suffixes_are_told_apart_without_their_words(spark, monkeypatch):
     df = spark.createDataFrame([(i, t, None, None, None) for i, t in corpus(3, 20)], SCHEMA)
     repeats.repeated_words(df, suffix_tree.resolve, 50, group=1).count()
     assert "p" in kept["suffixes"] and "words" not in kept["suffixes"]
+
+
+def test_texts_are_fetched_once_for_hot_and_other_prefixes(spark):
+    from hemicycle.llm import repeats
+
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in corpus(3, 20)], SCHEMA)
+    found = repeats.repeated_words(df, suffix_tree.resolve, 30, group=1)
+    assert "text#" not in found._jdf.queryExecution().optimizedPlan().toString()
