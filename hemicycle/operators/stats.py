@@ -51,7 +51,12 @@ def top(df: DataFrame, keys: list[str], value: str, name: str, n: int) -> DataFr
 
 def by_key(tags: DataFrame, facts: DataFrame, key: str, name: str) -> DataFrame:
     """(kb, key, name, initiatives): how many tagged initiatives each name has."""
-    return _once(tags, "kb", key).join(facts.select("id", name), "id").groupBy("kb", key, name).agg(F.count("*").alias("initiatives"))
+    return joined(_once(tags, "kb", key), facts, key, name)
+
+
+def joined(once: DataFrame, facts: DataFrame, key: str, name: str) -> DataFrame:
+    """``by_key`` of a row an initiative, knowledge base and key."""
+    return once.select("id", "kb", key).join(facts.select("id", name), "id").groupBy("kb", key, name).agg(F.count("*").alias("initiatives"))
 
 
 def deputies_by_topic(scores: DataFrame, n: int = 10) -> DataFrame:
@@ -74,9 +79,10 @@ def weekly(initiatives: DataFrame, start: str | None, end: str, keys: DataFrame
         first = spark.range(1).select(F.lit(start).cast("date").alias("first"))
     else:
         first = rows.agg(F.min("created").cast("date").alias("first"))
+    rows = rows.select("id", iso_week(F.col("created")).alias("week"))
     if keys is not None:
         rows = rows.join(keys, "id")
-    seen = rows.groupBy(*names, iso_week(F.col("created")).alias("week")).agg(F.count("*").alias("initiatives"))
+    seen = rows.groupBy(*names, "week").agg(F.count("*").alias("initiatives"))
     calendar = first.filter("first is not null").select(F.explode(F.sequence("first", F.greatest("first", F.lit(end).cast("date")), F.expr("interval 7 days"))).alias("d")).filter(F.col("d") <= F.lit(end).cast("date")).select(iso_week(F.col("d")).alias("week")).distinct()
     if names:
         calendar = seen.select(*names).distinct().crossJoin(calendar)

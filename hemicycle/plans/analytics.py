@@ -73,22 +73,35 @@ def tags(spark, d):
     return al.without_singles(b.tags(spark, d))
 
 
-def scores(spark, d):
-    topics = b.table(spark, d, "part").select(F.col("p_brand").alias("topic")).distinct()
-    return fp.by_topic(b.initiatives(spark, d), b.authors(spark, d), al.topic_alignment(tags(spark, d)), b.entities(spark, d), topics, AS_OF)
+def topics(spark, d):
+    return al.topic_times(b.tags(spark, d))
+
+
+def scores(spark, d, kind=None):
+    every = b.table(spark, d, "part").select(F.col("p_brand").alias("topic")).distinct()
+    return fp.by_topic(_initiatives(spark, d), b.authors(spark, d, kind), al.shares(topics(spark, d)), _entities(spark, d, kind), every, AS_OF)
+
+
+def _initiatives(spark, d):
+    return b.by_id(b.initiatives(spark, d), d)
+
+
+def _entities(spark, d, kind):
+    every = b.entities(spark, d)
+    return every.filter(F.col("kind") == kind) if kind else every
 
 
 def _people(kind: str, name: str):
-    return lambda spark, d: b.authors(spark, d).filter(F.col("kind") == kind).select("id", F.col("name").alias(name))
+    return lambda spark, d: b.authors(spark, d, kind).select("id", F.col("name").alias(name))
 
 
 def _named_places(spark, d):
-    return b.places(spark, d).filter("place is not null and place <> ''")
+    return b.by_id(b.places(spark, d), d).filter("place is not null and place <> ''")
 
 
 def _counted(key: str, facts, name: str, n: int | None):
     def run(spark, d):
-        found = stats.by_key(tags(spark, d), facts(spark, d), key, name)
+        found = stats.joined(topics(spark, d), facts(spark, d), key, name) if key == "topic" else stats.by_key(tags(spark, d), facts(spark, d), key, name)
         return stats.top(found, ["kb", key], "initiatives", name, n) if n else found
 
     return run
@@ -125,22 +138,17 @@ counted AS (SELECT type_group, count(id) FILTER (created > {at(15)}) AS current,
 SELECT *, CASE WHEN current > previous THEN 'up' WHEN current < previous THEN 'down' ELSE 'equal' END AS trend FROM counted"""
 
 
-def _alignment_nested(spark, d):
-    nested = al.nested(al.topic_alignment(tags(spark, d)))
-    return nested.select("id", "kb", F.posexplode("topic_alignment").alias("pos", "t")).select("id", "kb", (F.col("pos") + 1).alias("rank"), "t.topic", "t.percentage")
-
-
 def _penalties(spark, d):
-    last = fp.last_activity(b.initiatives(spark, d), b.authors(spark, d), tags(spark, d))
+    last = fp.last_activity(_initiatives(spark, d), b.authors(spark, d), topics(spark, d))
     return last.select("kind", "name", "topic", "last", fp.penalty(F.col("last"), AS_OF).alias("penalty"))
 
 
 def _rules(spark, d):
-    return fp.rule_counts(b.initiatives(spark, d), b.authors(spark, d))
+    return fp.rule_counts(_initiatives(spark, d), b.authors(spark, d))
 
 
-def _global(spark, d):
-    return fp.overall(b.initiatives(spark, d), b.authors(spark, d), b.entities(spark, d), AS_OF)
+def _global(spark, d, kind=None):
+    return fp.overall(_initiatives(spark, d), b.authors(spark, d, kind), _entities(spark, d, kind), AS_OF)
 
 
 def _documents(spark, d):
@@ -150,23 +158,23 @@ def _documents(spark, d):
 
 
 def _of_kind(source, kind):
-    return lambda spark, d: source(spark, d).filter(F.col("kind") == kind).drop("kind")
+    return lambda spark, d: source(spark, d, kind).drop("kind")
 
 
 QUERIES = {
-    "stats_overall_levels": lambda s, d: stats.overall(b.initiatives(s, d), tags(s, d)),
+    "stats_overall_levels": lambda s, d: stats.overall(b.initiatives(s, d), topics(s, d)),
     "stats_subtopic_counts": lambda s, d: stats.subtopic_counts(tags(s, d)),
     "stats_lastdays_trend": lambda s, d: stats.last_days(b.initiatives(s, d), AS_OF),
-    "stats_deputies_by_topic_top10": lambda s, d: stats.deputies_by_topic(scores(s, d)),
+    "stats_deputies_by_topic_top10": lambda s, d: stats.deputies_by_topic(scores(s, d, "deputy")),
     "stats_groups_by_topic": _counted("topic", _people("group", "grp"), "grp", None),
     "stats_places_by_topic_top5": _counted("topic", _named_places, "place", 5),
     "stats_deputies_by_subtopic_top10": _counted("subtopic", _people("deputy", "deputy"), "deputy", 10),
     "stats_groups_by_subtopic": _counted("subtopic", _people("group", "grp"), "grp", None),
     "stats_places_by_subtopic_top5": _counted("subtopic", _named_places, "place", 5),
     "stats_by_week_gapfilled": lambda s, d: stats.weekly(b.initiatives(s, d), START, END),
-    "stats_topics_by_week": lambda s, d: stats.weekly(b.initiatives(s, d), START, END, tags(s, d).select("id", "kb", "topic").distinct(), ("kb", "topic")),
-    "topic_alignment": lambda s, d: al.topic_alignment(tags(s, d)),
-    "topic_alignment_ranked": _alignment_nested,
+    "stats_topics_by_week": lambda s, d: stats.weekly(_initiatives(s, d), START, END, topics(s, d).select("id", "kb", "topic"), ("kb", "topic")),
+    "topic_alignment": lambda s, d: al.shares(topics(s, d)),
+    "topic_alignment_ranked": lambda s, d: al.ranked(al.shares(topics(s, d))),
     "footprint_rule_counts_global": _rules,
     "footprint_topic_deputy": _of_kind(scores, "deputy"),
     "footprint_topic_group": _of_kind(scores, "group"),

@@ -232,3 +232,47 @@ def test_places_signatures_fuzzy(spark):
 def test_document_tree():
     root = parse('<ul class="a b"><li>x<br>y<li>z</ul><p id="q">&eacute;</p>')
     assert [n.text() for n in root.select("ul.a li")][-1] == "z" and root.first("#q").text() == "é" and root.first("li").parts("br")[0] == "x"
+
+
+def _nodes(df):
+    """Operators of the plan before adaptive changes, from the top."""
+    return [x.strip(" +-:*") for x in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+
+
+def test_topics_take_one_shuffle_and_no_wide_sums(spark):
+    from hemicycle.plans import analytics
+
+    small = "/root/testdata/sf0.001"
+    for name in ("topic_alignment", "topic_alignment_ranked"):
+        nodes = _nodes(analytics.QUERIES[name](spark, small))
+        shuffles = [n for n in nodes if n.startswith("Exchange")]
+        assert len([n for n in shuffles if "hashpartitioning(id#" in n]) == len(shuffles) == 1
+        below = nodes[nodes.index(shuffles[0]) :]
+        assert not [n for n in below if "Aggregate" in n or n.startswith("Sort")]  # a map task holds no groups
+        assert not [n for n in nodes if "p_name" in n or "ObjectHash" in n]
+
+
+@pytest.mark.parametrize("name", ["footprint_topic_deputy", "footprint_topic_group", "stats_deputies_by_topic_top10", "footprint_entity_documents", "stats_groups_by_topic", "stats_places_by_topic_top5", "stats_topics_by_week", "stats_deputies_by_subtopic_top10"])
+def test_lines_are_shuffled_by_id_before_they_are_grouped(spark, name):
+    from hemicycle.plans import analytics
+
+    nodes = _nodes(analytics.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    by_id = [n for n in nodes if n.startswith("Exchange") and "(id#" in n]
+    assert by_id and all("hashpartitioning(id#" in n and n.count("#") <= 3 and "REPARTITION_BY_NUM" in n for n in by_id)
+
+
+def test_tasks_follow_the_size_of_the_lines(spark, monkeypatch):
+    from hemicycle.plans import binding
+
+    rows = spark.range(10)
+    assert binding.by_id(rows, "/root/testdata/sf0.001").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(binding, "TASK_BYTES", 10_000)
+    few = binding.by_id(rows, "/root/testdata/sf0.001").rdd.getNumPartitions()
+    assert 8 * few < binding.by_id(rows, "/root/testdata/sf0.01").rdd.getNumPartitions() < 12 * few
+
+
+def test_topic_times_and_ranks(spark):
+    df = spark.createDataFrame([("1", "k", "A", "s", "t", 1), ("1", "k", "B", "s", "t", 1), ("1", "k", "B", "s", "t", 1), ("1", "k", "C", "s", "u", 2), ("1", "k", None, "s", "u", 2), ("2", "k", "A", "s", "t", None)], TAGS)
+    times = al.topic_times(df)
+    assert rows(times, "id", "topic", "times") == rows(al.without_singles(df).groupBy("id", "topic").agg(F.sum("times").alias("times")), "id", "topic", "times") == [("1", "B", 2), ("1", "C", 2), ("1", None, 2)]
+    assert [tuple(r) for r in al.ranked(al.shares(times)).orderBy("rank").select("rank", "topic", "percentage").collect()] == [(1, "B", 33.33), (2, "C", 33.33), (3, None, 33.33)]
