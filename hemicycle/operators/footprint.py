@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hemicycle import dims
-from hemicycle.functions.numbers import r2, term
+from hemicycle.functions.numbers import micros, of_micros, r2
 
 EMAIL, SOCIAL = 40.0, 40.0
 
@@ -85,20 +85,21 @@ def _final(points: DataFrame, entities: DataFrame, topics: DataFrame | None, as_
 def by_topic(initiatives: DataFrame, authors: DataFrame, alignment: DataFrame, entities: DataFrame, topics: DataFrame, as_of: str, rules=None) -> DataFrame:
     """(kind, name, topic, raw, score) for every entity and topic. Weighted initiatives and alignments meet on
     id, then authors; sums and last dates come from one aggregation."""
-    shares = alignment.groupBy("id", "topic").agg(F.sum(F.col("percentage").cast("decimal(9,2)")).alias("pct"))
+    cents = F.round(F.col("percentage") * 100).cast("long")
+    shares = alignment.groupBy("id", "topic").agg((F.sum(cents) / 100).alias("pct"))
     signed = authors.withColumn("n", F.when(F.col("kind") == "deputy", F.count("*").over(Window.partitionBy("id", "kind"))).otherwise(1))
     alive = initiatives.filter(valid(F.col("status"))).select("id", "created", weight(rules).alias("weight"))
     facts = alive.join(shares, "id").join(signed, "id")
-    value = term(F.col("pct").cast("double") / 100 / F.col("n") * F.col("weight"))
-    points = facts.groupBy("kind", "name", "topic").agg(F.sum(value).alias("points"), F.max("created").alias("last"))
+    value = micros(F.col("pct") / 100 / F.col("n") * F.col("weight"))
+    points = facts.groupBy("kind", "name", "topic").agg(of_micros(F.sum(value)).alias("points"), F.max("created").alias("last"))
     return _final(points, entities, topics, as_of)
 
 
 def overall(initiatives: DataFrame, authors: DataFrame, entities: DataFrame, as_of: str, rules=None) -> DataFrame:
     """(kind, name, raw, score) without topics: no sharing, no alignment."""
-    alive = initiatives.filter(valid(F.col("status"))).select("id", "created", weight(rules).alias("weight"))
+    alive = initiatives.filter(valid(F.col("status"))).select("id", "created", micros(weight(rules)).alias("value"))
     facts = alive.join(authors, "id")
-    points = facts.groupBy("kind", "name").agg(F.sum(term(F.col("weight"))).alias("points"), F.max("created").alias("last"))
+    points = facts.groupBy("kind", "name").agg(of_micros(F.sum("value")).alias("points"), F.max("created").alias("last"))
     return _final(points, entities, None, as_of)
 
 

@@ -234,6 +234,21 @@ def test_document_tree():
     assert [n.text() for n in root.select("ul.a li")][-1] == "z" and root.first("#q").text() == "é" and root.first("li").parts("br")[0] == "x"
 
 
+def test_micros_round_like_decimals(spark):
+    from decimal import Decimal
+
+    from hemicycle.functions.numbers import micros, of_micros, term
+
+    values = [0.0, 1 / 3, 33.33 / 100 / 3 * 10, 0.0000005, 0.00000049999999, 0.000000495, 0.000000494999999, 1.0000015, 2.675, -1.0000005, -0.00000149, -0.000000005, 1e9 + 0.123456789, -2e10, 0.1234565, 12.345678499999, None]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    got = df.select(micros(F.col("x")).alias("m"), (term(F.col("x")) * 1_000_000).cast("long").alias("t")).collect()
+    assert [r.m for r in got] == [r.t for r in got]
+    same = spark.range(20000).select((F.rand(1) * 100 / 100 / (F.col("id") % 7 + 1) * 40).alias("x")).filter(micros(F.col("x")) != (term(F.col("x")) * 1_000_000).cast("long"))
+    assert same.count() == 0
+    assert df.select(of_micros(F.sum(micros(F.col("x")))).alias("s")).first().s == df.select(F.sum(term(F.col("x"))).alias("s")).first().s
+    assert spark.range(1).select(of_micros(F.lit(9007199254740993)).alias("s")).first().s == Decimal("9007199254.740993")
+
+
 def _nodes(df):
     """Operators of the plan before adaptive changes, from the top."""
     return [x.strip(" +-:*") for x in df._jdf.queryExecution().executedPlan().toString().splitlines()]
